@@ -18,54 +18,50 @@ from eventward.sources.normalize import (
 from eventward.sources.xml_events import source_name
 
 
-def _path(key: str) -> str:
-    return f"$['{key}']"
+def _value(key: str) -> Column:
+    return F.col("_fields")[key]
 
 
 def _text(key: str) -> Column:
-    return F.try_variant_get("_v", _path(key), "string")
-
-
-def _any(key: str) -> Column:
-    return F.try_variant_get("_v", _path(key), "variant")
+    """Value as text; a null value has none."""
+    return F.try_variant_get(_value(key), "$", "string")
 
 
 def _present(key: str) -> Column:
-    return _any(key).isNotNull()
+    return F.map_contains_key("_fields", F.lit(key))
 
 
 def _given(key: str) -> Column:
     """The key is there with a value other than null."""
-    return _present(key) & ~F.is_variant_null(_any(key))
+    return _value(key).isNotNull() & ~F.is_variant_null(_value(key))
 
 
-def _is_text(key: str) -> Column:
-    return F.schema_of_variant(_any(key)) == "STRING"
+def _is_text(value: Column) -> Column:
+    return F.schema_of_variant(value) == "STRING"
 
 
 def _parsed(df: DataFrame, text: str) -> DataFrame:
-    """Blank lines and lines that are no JSON object are no records."""
+    """Parse each line once. Blank lines are no records; lines that are no JSON object have no fields."""
     rows = df.where(F.trim(F.col(text)) != "")
-    return rows.withColumns({"_v": F.try_parse_json(F.col(text)), RAW: F.col(text)})
+    fields = F.try_variant_get(F.try_parse_json(F.col(text)), "$", "map<string,variant>")
+    return rows.withColumns({"_fields": fields, RAW: F.col(text)})
 
 
 def _event_number(key: str) -> Column:
     """Texts must be whole numbers; numbers are cut to whole ones."""
-    as_number = F.try_variant_get("_v", _path(key), "double")
+    as_number = F.try_variant_get(_value(key), "$", "double")
     number = F.when(as_number >= 0, F.floor(as_number)).otherwise(F.ceil(as_number))
-    return F.when(_is_text(key), whole_number(_text(key))).otherwise(number.try_cast("int"))
+    return F.when(_is_text(_value(key)), whole_number(_text(key))).otherwise(number.try_cast("int"))
 
 
 def _not_text(keys: list[str]) -> Column:
-    wrong = F.lit(False)
-    for key in keys:
-        wrong = wrong | (_given(key) & ~_is_text(key))
-    return wrong
+    """Some of the keys holds a value that is neither text nor null."""
+    values = F.map_values(F.map_filter("_fields", lambda k, v: k.isin(keys)))
+    return F.exists(values, lambda v: ~F.is_variant_null(v) & ~_is_text(v))
 
 
-def _object_checks() -> list[tuple[Column, str]]:
-    is_object = F.schema_of_variant("_v").startswith("OBJECT")
-    return [(F.col("_v").isNull(), "malformed_json"), (~is_object, "no_object")]
+def _malformed() -> tuple[Column, str]:
+    return F.col("_fields").isNull(), "malformed_json"
 
 
 def normalize_emulation_texts(df: DataFrame, text: str = "value", strict: bool = False) -> DataFrame:
@@ -92,7 +88,8 @@ def normalize_emulation_texts(df: DataFrame, text: str = "value", strict: bool =
         "record_id": _text("RecordNumber"),
         "label": F.col("label"),
     }
-    checks = _object_checks() + [
+    checks = [
+        _malformed(),
         (~_present("EventID"), "no_event_id"),
         (columns["event_id"].isNull(), "bad_event_id"),
         (columns["timestamp"].isNull(), "bad_time"),
@@ -120,7 +117,8 @@ def normalize_canonical_texts(df: DataFrame, text: str = "value", strict: bool =
         "logon_type": whole_number(_text("logon_type"), INTEGER_FIELD_TEXT),
     }
     required = columns["source_dataset"].isNull() | columns["source_file"].isNull() | columns["source_format"].isNull()
-    checks = _object_checks() + [
+    checks = [
+        _malformed(),
         (columns["event_id"].isNull(), "bad_event_id"),
         (columns["timestamp"].isNull(), "bad_time"),
         (columns["computer"].isNull(), "no_computer"),

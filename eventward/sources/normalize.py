@@ -41,13 +41,16 @@ def first_reason(checks: list[tuple[Column, str]]) -> Column:
 
 
 def finish(df: DataFrame, columns: dict[str, Column], checks: list[tuple[Column, str]]) -> DataFrame:
-    """Project to `ord`, the canonical columns, the reject reason and the raw text."""
+    """Project to `ord`, the canonical columns, the reject reason and the raw text.
+
+    The row is built by a generator, which filters do not pass: a filter on the reason would
+    otherwise be moved below the parsing and repeat it for every check.
+    """
     typed = [
         columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields
     ]
-    return df.select(
-        F.col(ORDINAL), *typed, first_reason(checks).alias(REASON), F.col(RAW)
-    )
+    row = F.struct(F.col(ORDINAL), *typed, first_reason(checks).alias(REASON), F.col(RAW))
+    return df.select(F.inline(F.array(row)))
 
 
 def accepted(normalized: DataFrame) -> DataFrame:

@@ -91,9 +91,6 @@ def _present(us: np.ndarray, values: pd.Series, left: np.ndarray, span: int) ->
 
 def _rolling_step(span: int, columns: list[str]) -> Callable:
     def step(_key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
         rows = pd.concat(list(chunks), ignore_index=True).sort_values(["us", "ord"], ignore_index=True)
         last, us, ids, hosts = state.get if state.exists else (None, [], [], [])
         late = rows["us"] < last if last is not None else pd.Series(False, index=rows.index)
