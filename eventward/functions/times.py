@@ -34,9 +34,11 @@ def validated_time(text: Column) -> Column:
 
 def xml_time(text: Column) -> Column:
     """Time of a `SystemTime` attribute: offsets are turned into UTC, others read as they are."""
-    whole = F.when(text.rlike(ISO_TIME), to_naive(F.replace(text, F.lit(","), F.lit("."))))
     cut = F.substring_index(F.substring_index(text, ".", 1), "+", 1)
-    return F.coalesce(whole, validated_time(F.replace(cut, F.lit(" "), F.lit("T"))))
+    return F.when(
+        text.rlike(ISO_TIME),
+        F.coalesce(to_naive(F.replace(text, F.lit(","), F.lit("."))), validated_time(F.replace(cut, F.lit(" "), F.lit("T")))),
+    ).otherwise(validated_time(F.replace(cut, F.lit(" "), F.lit("T"))))
 
 
 def iso_text(column: str | Column) -> Column:

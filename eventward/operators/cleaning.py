@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from eventward.catalog import RARE_THRESHOLD
 from eventward.functions.times import event_micros
 from eventward.operators.ordered import MAX_GROUP_ROWS, ordered_scan
+from eventward.session import stored
 
 DEDUP_KEY = ("source_file", "record_id")
 
@@ -111,7 +112,7 @@ def rare_label_totals(df: DataFrame, threshold: int = RARE_THRESHOLD) -> DataFra
 
 def merge_rare_labels(df: DataFrame, threshold: int = RARE_THRESHOLD) -> DataFrame:
     """Add `merged_label`: labels below the threshold become `rare_technique_<tactic>`."""
-    rare = rare_labels(df, threshold).select("label", F.lit(True).alias("_rare"))
+    rare = stored(rare_labels(df, threshold).select("label", F.lit(True).alias("_rare")), "rare-labels")
     merged = F.when(
         F.col("_rare") & F.col("mitre_tactic").isNotNull(),
         F.concat(F.lit("rare_technique_"), F.col("mitre_tactic")),

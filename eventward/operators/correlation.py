@@ -150,7 +150,7 @@ def representative_events(df: DataFrame, labels: list[str] | None = None) -> Dat
     )
     first = Window.partitionBy("label").orderBy(F.col("subject_user_name").isNull(), "ord")
     return (
-        rows.join(common, "label")
+        rows.join(stored(common, "common-ids"), "label")
         .where("event_id = _common")
         .withColumn("_rank", F.row_number().over(first))
         .where("_rank = 1")

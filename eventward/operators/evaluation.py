@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventward.session import stored
+
 
 def pair_counts(df: DataFrame, truth: str, guess: str) -> DataFrame:
     return df.groupBy(
@@ -22,7 +24,7 @@ def evaluable_labels(train: DataFrame, test: DataFrame, label: str = "label") ->
 
 
 def restrict_to(df: DataFrame, labels: DataFrame, label: str = "label") -> DataFrame:
-    return df.join(labels, label, "left_semi")
+    return df.join(stored(labels, "labels"), label, "left_semi")
 
 
 def accuracy(df: DataFrame, truth: str, guess: str) -> DataFrame:

@@ -137,12 +137,18 @@ class FeatureEncoders:
 
 
 def fit_encoders(train: DataFrame, n_top: int = TOP_EVENT_IDS) -> FeatureEncoders:
-    """Two column-pruned aggregates over train; their results are small and written down once."""
-    counts = stored(event_id_counts(train), "event-id-counts")
+    """One pass over three columns of train; the encoders derive from its small result."""
+    cells = train.groupBy("event_id", "label", "mitre_tactic").agg(F.count(F.lit(1)).alias("n"))
+    cells = stored(cells, "training-counts")
+    known = cells.where("event_id IS NOT NULL").groupBy("event_id").agg(F.sum("n").alias("n"))
+    tactics = cells.where("mitre_tactic IS NOT NULL AND label IS NOT NULL").groupBy("label", "mitre_tactic")
+    learned = tactics.agg(F.sum("n").alias("n")).groupBy("label").agg(
+        F.min_by("mitre_tactic", F.struct(-F.col("n"), "mitre_tactic")).alias("learned_tactic")
+    )
     return FeatureEncoders(
-        frequency=event_id_frequency(counts),
-        top_event_ids=[r.event_id for r in top_event_ids(counts, n_top).collect()],
-        tactics=stored(label_to_tactic(train), "label-tactics"),
+        frequency=stored(event_id_frequency(known), "event-id-frequency"),
+        top_event_ids=[r.event_id for r in top_event_ids(known, n_top).collect()],
+        tactics=stored(learned, "label-tactics"),
     )
 
 

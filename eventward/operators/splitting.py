@@ -37,8 +37,8 @@ def host_assignment(
     hash. Hosts fixed in train never change, so labels draw independently; where they disagree
     about a host, the first label in alphabetical order wins.
     """
-    pairs = df.select("label", "computer", group_key().alias("host")).distinct()
-    # One row per (label, host) is all that is left; single-host labels follow from it.
+    # One pass over the events; all that follows reads the distinct pairs.
+    pairs = stored(df.select("label", "computer", group_key().alias("host")).distinct(), "label-hosts")
     hosts_of = pairs.groupBy("label").agg(F.count("computer").alias("_hosts"))
     pairs = pairs.join(hosts_of.select("label", (F.col("_hosts") <= 1).alias("_single")), "label")
     fixed = pairs.where("_single AND host IS NOT NULL").select("host").distinct()

@@ -21,6 +21,7 @@ from eventward.operators.rolling import ROLLING_COLUMNS, add_rolling_features
 from eventward.plans import detection as plans
 from eventward.plans.dataset import build_dataset
 from eventward.schema import EVENT_COLUMNS
+from eventward.session import scratch_path, stored
 from eventward.sources.adapter import read_security_events, read_table, security_view
 from eventward.sources.json_events import normalize_canonical_texts, normalize_emulation_texts
 from eventward.sources.normalize import REASON, accepted, quarantined
@@ -125,6 +126,7 @@ def with_majority_label(events: DataFrame) -> DataFrame:
     best = counts.groupBy("event_id").agg(
         F.min_by("label", F.struct(-F.col("n"), "label")).alias("guess")
     )
+    best = stored(best, "majority-labels")
     return events.where("split = 'test'").join(best, "event_id", "left").withColumn(
         "guess", F.coalesce("guess", F.lit(catalog.BENIGN_LABEL))
     )
@@ -232,13 +234,15 @@ def filter_label(spark, folder):
 @query
 def filter_members(spark, folder):
     events = read_security_events(spark, folder)
-    return events.join(splitting.single_host_labels(events), "label", "left_semi").select("ord", "label")
+    labels = stored(splitting.single_host_labels(events), "single-host-labels")
+    return events.join(labels, "label", "left_semi").select("ord", "label")
 
 
 @query
 def filter_non_members(spark, folder):
     events = read_security_events(spark, folder)
-    return events.join(splitting.single_host_labels(events), "label", "left_anti").select("ord", "label")
+    labels = stored(splitting.single_host_labels(events), "single-host-labels")
+    return events.join(labels, "label", "left_anti").select("ord", "label")
 
 
 @query
@@ -370,7 +374,7 @@ def largest_gaps(spark, folder):
 @query
 def mitre_coverage(spark, folder):
     events = split_events(spark, folder)
-    tactics = features.label_to_tactic(events.where("split = 'train'"))
+    tactics = stored(features.label_to_tactic(events.where("split = 'train'")), "label-tactics")
     return cleaning.mitre_coverage(features.backfill_mitre(events, tactics))
 
 
@@ -382,7 +386,7 @@ def tactics_per_label(spark, folder):
 @query
 def describe_event_frequency(spark, folder):
     events = split_events(spark, folder)
-    counts = features.event_id_counts(events.where("split = 'train'"))
+    counts = stored(features.event_id_counts(events.where("split = 'train'")), "event-id-counts")
     encoded = features.apply_event_id_frequency(
         events.where("split = 'train'"), features.event_id_frequency(counts)
     )
@@ -460,7 +464,7 @@ def presence_flags(spark, folder):
 
 @query
 def event_id_frequency(spark, folder):
-    counts = features.event_id_counts(split_events(spark, folder).where("split = 'train'"))
+    counts = stored(features.event_id_counts(split_events(spark, folder).where("split = 'train'")), "event-id-counts")
     return features.event_id_frequency(counts).select("event_id", *rounded("event_id_freq"))
 
 
@@ -468,7 +472,8 @@ def event_id_frequency(spark, folder):
 def apply_event_id_frequency(spark, folder):
     """Encoder fitted on one label's rows, so that some ids are unseen."""
     events = read_security_events(spark, folder)
-    counts = features.event_id_counts(events.where("label = 'mimikatz' OR label = 'pass_the_hash'"))
+    fitted = events.where("label = 'mimikatz' OR label = 'pass_the_hash'")
+    counts = stored(features.event_id_counts(fitted), "event-id-counts")
     encoded = features.apply_event_id_frequency(events, features.event_id_frequency(counts))
     return encoded.select("ord", "event_id", *rounded("event_id_freq"))
 
@@ -522,7 +527,7 @@ def label_to_tactic(spark, folder):
 @query
 def backfill_mitre(spark, folder):
     events = split_events(spark, folder)
-    tactics = features.label_to_tactic(events.where("split = 'train'"))
+    tactics = stored(features.label_to_tactic(events.where("split = 'train'")), "label-tactics")
     return features.backfill_mitre(events, tactics).select("ord", "label", "mitre_tactic", "mitre_technique")
 
 
@@ -591,7 +596,8 @@ def class_weights(spark, folder):
 def tactic_training_summary(spark, folder):
     events = split_events(spark, folder)
     train = events.where("split = 'train'")
-    return forests.tactic_training_summary(features.backfill_mitre(train, features.label_to_tactic(train)))
+    tactics = stored(features.label_to_tactic(train), "label-tactics")
+    return forests.tactic_training_summary(features.backfill_mitre(train, tactics))
 
 
 @query
@@ -772,14 +778,24 @@ def reports(spark, folder):
 
 # -- models -------------------------------------------------------------------------------------------
 
-def _detector(spark, folder):
-    return plans.train_detector(split_events(spark, folder))
+_SAVED: dict[tuple[str, str], str] = {}
+
+
+def _detector(spark, folder) -> plans.Detector:
+    """The detector of a folder: trained and saved once per session, loaded from then on."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _SAVED:
+        detector, _ = plans.train_detector(split_events(spark, folder))
+        path = scratch_path(spark, "detector")
+        detector.save(spark, path)
+        _SAVED[key] = path
+    return plans.Detector.load(spark, _SAVED[key])
 
 
 @query
 def train_and_score(spark, folder):
     """Both stages fitted on train, test rows scored with their rolling features, and the accuracy."""
-    detector, table = _detector(spark, folder)
+    detector, table = plans.train_detector(split_events(spark, folder))
     scored = forests.predict_hierarchical(detector.model, table.where("split = 'test'"))
     return evaluation.classification_report(scored, "label", "predicted_label")
 
@@ -796,7 +812,7 @@ def important_features(spark, folder):
 @query
 def reports_of_scored_events(spark, folder):
     """The whole chain for every event: isolated features, both stages, names, prompt, report."""
-    detector, _ = _detector(spark, folder)
+    detector = _detector(spark, folder)
     return plans.report(read_security_events(spark, folder), detector).select(
         "ord", "predicted_label", "predicted_tactic", "is_attack", "report"
     )
@@ -829,8 +845,8 @@ def stream_rolling_features(spark, folder):
 
 @query
 def stream_score(spark, folder):
-    detector, _ = _detector(spark, folder)
-    path = feeds.scratch_path(spark, "stream-score")
+    detector = _detector(spark, folder)
+    path = scratch_path(spark, "stream-score")
 
     def score(batch: DataFrame) -> DataFrame:
         scored = plans.score_isolated(batch, detector).transform(enrichment.enrich_predictions)
@@ -839,6 +855,6 @@ def stream_score(spark, folder):
             enrichment.severity().alias("severity"),
         )
 
-    state = feeds.scratch_path(spark, "stream-score-state")
+    state = scratch_path(spark, "stream-score-state")
     feeds.score_stream(stream_events(spark, folder), score, path, state).awaitTermination()
     return spark.read.parquet(path).drop("batch")

@@ -13,55 +13,69 @@ from eventward.sources.normalize import (
     RAW,
     file_ordinal,
     finish,
+    sealed,
     whole_number,
 )
 from eventward.sources.xml_events import source_name
 
 
+# Standard JSON only; the whole line is kept where it is none.
+_OPTIONS = {"columnNameOfCorruptRecord": "_corrupt", "allowSingleQuotes": "false"}
+
+
+def _parsed(df: DataFrame, text: str, texts: list[str], variants: list[str], strict: bool) -> DataFrame:
+    """Parse each line once into `_fields`. Blank lines are no records.
+
+    Variant fields keep the JSON type and tell a null from an absent key. Text fields read
+    numbers as text; with `strict` they are variants too, so that their type can be checked.
+    """
+    types = {name: "variant" if strict else "string" for name in texts}
+    types |= {name: "variant" for name in variants} | {"_corrupt": "string"}
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in types.items())
+    rows = df.where(F.trim(F.col(text)) != "").withColumn(RAW, F.col(text))
+    return sealed(rows, _fields=F.from_json(F.col(text), schema, _OPTIONS))
+
+
 def _value(key: str) -> Column:
     return F.col("_fields")[key]
 
 
-def _text(key: str) -> Column:
+def _text(key: str, variant: bool) -> Column:
     """Value as text; a null value has none."""
-    return F.try_variant_get(_value(key), "$", "string")
+    return F.try_variant_get(_value(key), "$", "string") if variant else _value(key)
 
 
 def _present(key: str) -> Column:
-    return F.map_contains_key("_fields", F.lit(key))
+    return _value(key).isNotNull()
 
 
 def _given(key: str) -> Column:
     """The key is there with a value other than null."""
-    return _value(key).isNotNull() & ~F.is_variant_null(_value(key))
-
-
-def _is_text(value: Column) -> Column:
-    return F.schema_of_variant(value) == "STRING"
+    return _present(key) & ~F.is_variant_null(_value(key))
 
 
-def _parsed(df: DataFrame, text: str) -> DataFrame:
-    """Parse each line once. Blank lines are no records; lines that are no JSON object have no fields."""
-    rows = df.where(F.trim(F.col(text)) != "")
-    fields = F.try_variant_get(F.try_parse_json(F.col(text)), "$", "map<string,variant>")
-    return rows.withColumns({"_fields": fields, RAW: F.col(text)})
+def _is_text(key: str) -> Column:
+    return F.schema_of_variant(_value(key)) == "STRING"
 
 
 def _event_number(key: str) -> Column:
     """Texts must be whole numbers; numbers are cut to whole ones."""
     as_number = F.try_variant_get(_value(key), "$", "double")
     number = F.when(as_number >= 0, F.floor(as_number)).otherwise(F.ceil(as_number))
-    return F.when(_is_text(_value(key)), whole_number(_text(key))).otherwise(number.try_cast("int"))
+    return F.when(_is_text(key), whole_number(_text(key, True))).otherwise(number.try_cast("int"))
 
 
 def _not_text(keys: list[str]) -> Column:
     """Some of the keys holds a value that is neither text nor null."""
-    values = F.map_values(F.map_filter("_fields", lambda k, v: k.isin(keys)))
-    return F.exists(values, lambda v: ~F.is_variant_null(v) & ~_is_text(v))
+    wrong = F.lit(False)
+    for key in keys:
+        wrong = wrong | (_given(key) & ~_is_text(key))
+    return wrong
 
 
 def _malformed() -> tuple[Column, str]:
-    return F.col("_fields").isNull(), "malformed_json"
+    broken = _value("_corrupt").isNotNull() | ~F.endswith(F.rtrim(F.col(RAW)), F.lit("}"))
+    return broken, "malformed_json"
 
 
 def normalize_emulation_texts(df: DataFrame, text: str = "value", strict: bool = False) -> DataFrame:
@@ -69,23 +83,35 @@ def normalize_emulation_texts(df: DataFrame, text: str = "value", strict: bool =
 
     `strict` rejects rows whose text fields hold numbers; otherwise these are read as text.
     """
-    rows = _parsed(df, text)
-    time_text = F.coalesce(
-        F.nullif(_text("EventTime"), F.lit("")), F.nullif(_text("@timestamp"), F.lit(""))
+    names = [name for name in JSON_FIELDS if name != "LogonType"]
+    rows = _parsed(
+        df, text, names, ["EventID", "EventTime", "@timestamp", "Hostname", "host", "RecordNumber", "LogonType"],
+        strict,
     )
-    columns = {target: _text(name) for name, target in JSON_FIELDS.items()}
-    columns |= {
-        "event_id": _event_number("EventID"),
-        "timestamp": validated_time(time_text),
-        "computer": F.when(_present("Hostname"), _text("Hostname"))
-        .when(_present("host"), _text("host"))
+
+    def given_text(key: str) -> Column:
+        return F.nullif(_text(key, True), F.lit(""))
+
+    rows = sealed(
+        rows,
+        _number=_event_number("EventID"),
+        _time=validated_time(F.coalesce(given_text("EventTime"), given_text("@timestamp"))),
+        _computer=F.when(_present("Hostname"), _text("Hostname", True))
+        .when(_present("host"), _text("host", True))
         .otherwise(F.lit(UNKNOWN_HOST)),
-        "hostname_raw": _text("Hostname"),
-        "logon_type": whole_number(_text("LogonType"), INTEGER_FIELD_TEXT),
+        _logon=whole_number(_text("LogonType", True), INTEGER_FIELD_TEXT),
+    )
+    columns = {JSON_FIELDS[name]: _text(name, strict) for name in names}
+    columns |= {
+        "event_id": F.col("_number"),
+        "timestamp": F.col("_time"),
+        "computer": F.col("_computer"),
+        "hostname_raw": _text("Hostname", True),
+        "logon_type": F.col("_logon"),
         "source_dataset": F.col("source_dataset"),
         "source_file": F.col("source_file"),
         "source_format": F.lit(JSON_FORMAT),
-        "record_id": _text("RecordNumber"),
+        "record_id": _text("RecordNumber", True),
         "label": F.col("label"),
     }
     checks = [
@@ -97,8 +123,7 @@ def normalize_emulation_texts(df: DataFrame, text: str = "value", strict: bool =
         (_given("LogonType") & columns["logon_type"].isNull(), "bad_logon_type"),
     ]
     if strict:
-        texts = [name for name in JSON_FIELDS if name != "LogonType"] + ["Hostname"]
-        checks.append((_not_text(texts), "not_text"))
+        checks.append((_not_text([*names, "Hostname", "host"]), "not_text"))
     return finish(rows, columns, checks)
 
 
@@ -107,23 +132,35 @@ def normalize_canonical_texts(df: DataFrame, text: str = "value", strict: bool =
 
     The file name stays with rejected rows only; accepted rows carry their own `source_file`.
     """
-    rows = _parsed(df.withColumnRenamed("source_file", "_file"), text)
     names = [*STRING_FIELDS, *ORIGIN_FIELDS, *LABEL_FIELDS]
-    columns = {name: _text(name) for name in names}
+    rows = _parsed(
+        df.withColumnRenamed("source_file", "_file"), text, names,
+        ["event_id", "timestamp", "computer", "logon_type"], strict,
+    )
+    rows = sealed(
+        rows,
+        _number=_event_number("event_id"),
+        _time=validated_time(_text("timestamp", True)),
+        _computer=F.when(_present("computer"), _text("computer", True)).otherwise(F.lit(UNKNOWN_HOST)),
+        _logon=whole_number(_text("logon_type", True), INTEGER_FIELD_TEXT),
+    )
+    columns = {name: _text(name, strict) for name in names}
     columns |= {
-        "event_id": _event_number("event_id"),
-        "timestamp": validated_time(_text("timestamp")),
-        "computer": F.when(_present("computer"), _text("computer")).otherwise(F.lit(UNKNOWN_HOST)),
-        "logon_type": whole_number(_text("logon_type"), INTEGER_FIELD_TEXT),
+        "event_id": F.col("_number"),
+        "timestamp": F.col("_time"),
+        "computer": F.col("_computer"),
+        "logon_type": F.col("_logon"),
     }
-    required = columns["source_dataset"].isNull() | columns["source_file"].isNull() | columns["source_format"].isNull()
+    no_source = F.lit(False)
+    for name in ("source_dataset", "source_file", "source_format"):
+        no_source = no_source | columns[name].isNull()
     checks = [
         _malformed(),
         (columns["event_id"].isNull(), "bad_event_id"),
         (columns["timestamp"].isNull(), "bad_time"),
         (columns["computer"].isNull(), "no_computer"),
         (_given("logon_type") & columns["logon_type"].isNull(), "bad_logon_type"),
-        (required, "no_source"),
+        (no_source, "no_source"),
     ]
     if strict:
         checks.append((_not_text([*names, "computer"]), "not_text"))

@@ -40,17 +40,22 @@ def first_reason(checks: list[tuple[Column, str]]) -> Column:
                       F.lit(None).cast("string"))
 
 
-def finish(df: DataFrame, columns: dict[str, Column], checks: list[tuple[Column, str]]) -> DataFrame:
-    """Project to `ord`, the canonical columns, the reject reason and the raw text.
+def sealed(df: DataFrame, **parsed: Column) -> DataFrame:
+    """Add parsed columns below a generator, which neither filters nor projections pass.
 
-    The row is built by a generator, which filters do not pass: a filter on the reason would
-    otherwise be moved below the parsing and repeat it for every check.
+    A filter on the reject reason would otherwise be moved below the parsing, and each check
+    and each column that uses a parsed value would parse it again.
     """
+    row = F.struct(*[value.alias(name) for name, value in parsed.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
+def finish(df: DataFrame, columns: dict[str, Column], checks: list[tuple[Column, str]]) -> DataFrame:
+    """Project to `ord`, the canonical columns, the reject reason and the raw text."""
     typed = [
         columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields
     ]
-    row = F.struct(F.col(ORDINAL), *typed, first_reason(checks).alias(REASON), F.col(RAW))
-    return df.select(F.inline(F.array(row)))
+    return df.select(ORDINAL, *typed, first_reason(checks).alias(REASON), RAW)
 
 
 def accepted(normalized: DataFrame) -> DataFrame:

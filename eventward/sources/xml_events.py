@@ -12,6 +12,7 @@ from eventward.sources.normalize import (
     RAW,
     file_ordinal,
     finish,
+    sealed,
     whole_number,
 )
 
@@ -24,30 +25,45 @@ _WITH_CORRUPT = f"{EVENT_XML}, _corrupt string"
 _OPTIONS = {"rowTag": "Event", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
 
 
-def _data_value(column: str) -> Column:
-    """First accepted value among the Data elements that feed a column, in document order."""
-    names = [name for name, target in XML_FIELDS.items() if target == column]
+def _accepted_data(df: DataFrame) -> DataFrame:
+    """Names and values of the usable Data elements, in document order, picked out once per row.
 
-    def usable(d: Column) -> Column:
-        value = d["_VALUE"]
-        return d["_Name"].isin(names) & value.isNotNull() & (value != "") & ~value.isin(*XML_EMPTY_MARKS)
+    Names feeding the same column are made equal, so the first match is the value to take.
+    """
+    known = [name for name in XML_FIELDS]
+    value = lambda d: d["_VALUE"]
+    usable = F.filter(
+        "_event.EventData.Data",
+        lambda d: d["_Name"].isin(known) & value(d).isNotNull() & (value(d) != "")
+        & ~value(d).isin(*XML_EMPTY_MARKS),
+    )
+    df = sealed(df, _usable=usable)
+    renamed = F.transform("_usable", lambda d: F.when(d["_Name"] == "TargetSid", "TargetUserSid").otherwise(d["_Name"]))
+    return sealed(df, _names=renamed, _values=F.col("_usable._VALUE"))
 
-    return F.try_element_at(F.filter("_event.EventData.Data", usable), F.lit(1))["_VALUE"]
+
+def _data_value(name: str) -> Column:
+    return F.get("_values", F.array_position("_names", name) - 1)
 
 
 def _normalize(df: DataFrame) -> DataFrame:
     """`df` has _event (parsed struct), _corrupt (text that is no XML), raw, ord, source_dataset, source_file, label, tactic, technique."""
+    df = _accepted_data(df)
     event_text = F.col("_event.System.EventID._VALUE")
     time_text = F.col("_event.System.TimeCreated._SystemTime")
     computer = F.coalesce("_event.System.Computer", F.lit(UNKNOWN_HOST))
-    columns = {target: _data_value(target) for target in dict.fromkeys(XML_FIELDS.values())}
-    logon_text = columns["logon_type"]
+    logon_text = _data_value("LogonType")
+    df = sealed(
+        df, _number=whole_number(event_text), _time=xml_time(time_text),
+        _logon=whole_number(logon_text, INTEGER_FIELD_TEXT),
+    )
+    columns = {target: _data_value(name) for name, target in XML_FIELDS.items() if name != "TargetSid"}
     columns |= {
-        "event_id": whole_number(event_text),
-        "timestamp": xml_time(time_text),
+        "event_id": F.col("_number"),
+        "timestamp": F.col("_time"),
         "computer": computer,
         "hostname_raw": computer,
-        "logon_type": whole_number(logon_text, INTEGER_FIELD_TEXT),
+        "logon_type": F.col("_logon"),
         "source_dataset": F.col("source_dataset"),
         "source_file": F.col("source_file"),
         "source_format": F.lit(XML_FORMAT),
@@ -75,7 +91,7 @@ def normalize_xml_texts(df: DataFrame, text: str = "xml") -> DataFrame:
 
     `df` needs ord, source_dataset, source_file, label, tactic and technique besides the text.
     """
-    parsed = df.withColumn("_event", F.from_xml(F.col(text), _WITH_CORRUPT, _OPTIONS))
+    parsed = sealed(df, _event=F.from_xml(F.col(text), _WITH_CORRUPT, _OPTIONS))
     corrupt = F.when(F.col("_event").isNull() | F.col("_event._corrupt").isNotNull(), F.col(text))
     return _normalize(parsed.withColumns({"_corrupt": corrupt, RAW: F.col(text)}))
 
