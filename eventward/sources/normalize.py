@@ -78,5 +78,5 @@ def write_with_quarantine(normalized: DataFrame, path: str) -> None:
 
 
 def read_with_quarantine(spark, path: str) -> tuple[DataFrame, DataFrame]:
-    table = spark.read.parquet(path)
-    return accepted(table.where("accepted")), quarantined(table.where("NOT accepted"))
+    table = spark.read.parquet(path)  # partition values are read as text
+    return accepted(table.where("accepted = 'true'")), quarantined(table.where("accepted = 'false'"))

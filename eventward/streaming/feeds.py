@@ -19,18 +19,39 @@ from eventward.sources.normalize import RAW, REASON
 
 
 def stream_lines(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    """New text lines of a folder with their file name and a number that grows within a file."""
+    """New text lines of a folder with their file name and the start of their file block."""
     reader = prepare(spark).readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(folder).select(
         "value",
-        (F.col("_metadata.file_block_start")
-         + F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)).alias("ord"),
+        F.col("_metadata.file_block_start").alias("_block"),
         F.col("_metadata.file_name").alias("source_file"),
     )
 
 
+def ingest_stream(
+    lines: DataFrame, normalize: Callable[[DataFrame], DataFrame], path: str, checkpoint: str
+):
+    """Normalise each micro-batch of `stream_lines` into one table, partitioned by `accepted`.
+
+    Lines are numbered within their file as in a batch scan. A repeated batch replaces its own
+    output.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        in_task = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+        rows = normalize(batch.withColumn("ord", F.col("_block") + in_task).drop("_block"))
+        with_quarantine(rows).write.mode("overwrite").partitionBy("accepted").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        lines.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def write_stream(
     stream: DataFrame, path: str, checkpoint: str, partition_by: tuple[str, ...] = (), mode: str = "append"
 ):
@@ -83,8 +104,8 @@ def _present(us: np.ndarray, values: pd.Series, left: np.ndarray, span: int) ->
     """Distinct values in the trailing window: openings so far less closings at or before its start."""
     times = pd.Series(us)
     by_value = times.groupby(values.to_numpy())
-    opens = ~(times - by_value.shift(1) < span)
-    closes = ~(by_value.shift(-1) - times < span)
+    opens = ~(times - by_value.shift(1) < span).to_numpy()
+    closes = ~(by_value.shift(-1) - times < span).to_numpy()
     closed = np.concatenate([[0], np.cumsum(closes)])
     return np.cumsum(opens) - closed[left]
 
