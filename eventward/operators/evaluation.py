@@ -18,9 +18,11 @@ def pair_counts(df: DataFrame, truth: str, guess: str) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
-def evaluable_labels(train: DataFrame, test: DataFrame, label: str = "label") -> DataFrame:
-    """Labels present in train and in test."""
-    return train.select(label).intersect(test.select(label))
+def evaluable_labels(train: DataFrame | None, test: DataFrame, label: str = "label") -> DataFrame:
+    """Labels present in train and in test; all test labels if train is unknown."""
+    if train is None:
+        return test.select(label).distinct()
+    return train.select(label).distinct().intersect(test.select(label).distinct())
 
 
 def restrict_to(df: DataFrame, labels: DataFrame, label: str = "label") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventward.operators.ordered import MAX_GROUP_ROWS, ordered_scan
+from eventward.operators.ordered import MAX_GROUP_ROWS, ordered_scan, scan_groups
 from eventward.session import stored
 
 TEST_SIZE = 0.25
@@ -48,10 +48,12 @@ def host_assignment(
         .join(fixed, "host", "left_anti")
     )
     drawn = F.md5(F.concat_ws("|", F.lit(str(seed)), "label", "host"))
-    ranked = ordered_scan(
-        free.withColumns({"_draw": drawn, "_one": F.lit(1).cast("long")}),
-        ["label"], ["_draw", "host"], sums={"_rank": "_one"}, max_group_rows=max_group_rows,
-    )
+    free = free.withColumns({"_draw": drawn, "_one": F.lit(1).cast("long")})
+    scan = (["label"], ["_draw", "host"], {"_rank": "_one"})
+    if pairs.count() <= max_group_rows:  # a count from the file footers: no group can be larger
+        ranked = scan_groups(free, *scan)
+    else:
+        ranked = ordered_scan(free, *scan, max_group_rows=max_group_rows)
     candidates = free.groupBy("label").agg(F.count(F.lit(1)).alias("_n"))
     wanted = F.least(F.greatest(F.lit(1), F.bround(F.col("_n") * F.lit(test_size))), F.col("_n") - 1)
     choice = ranked.join(candidates, "label").select(
