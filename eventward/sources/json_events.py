@@ -32,14 +32,18 @@ def _parsed(df: DataFrame, text: str, texts: list[str], variants: list[str], str
     types = {name: "variant" if strict else "string" for name in texts}
     types |= {name: "variant" for name in variants} | {"_corrupt": "string"}
     schema = ", ".join(f"`{name}` {kind}" for name, kind in types.items())
-    rows = df.where(F.trim(F.col(text)) != "").withColumn(RAW, F.col(text))
-    return sealed(rows, _fields=F.from_json(F.col(text), schema, _OPTIONS))
+    fields = F.from_json(F.col(text), schema, _OPTIONS)
+    return df.where(F.trim(F.col(text)) != "").withColumns({RAW: F.col(text), "_fields": fields})
 
 
 def _value(key: str) -> Column:
     return F.col("_fields")[key]
 
 
+def _texts(names: list[str], strict: bool) -> dict[str, Column]:
+    return {f"_{name}": _text(name, strict) for name in names}
+
+
 def _text(key: str, variant: bool) -> Column:
     """Value as text; a null value has none."""
     return F.try_variant_get(_value(key), "$", "string") if variant else _value(key)
@@ -74,8 +78,11 @@ def _not_text(keys: list[str]) -> Column:
 
 
 def _malformed() -> tuple[Column, str]:
-    broken = _value("_corrupt").isNotNull() | ~F.endswith(F.rtrim(F.col(RAW)), F.lit("}"))
-    return broken, "malformed_json"
+    return F.col("_broken"), "malformed_json"
+
+
+def _broken() -> Column:
+    return _value("_corrupt").isNotNull() | ~F.endswith(F.rtrim(F.col(RAW)), F.lit("}"))
 
 
 def normalize_emulation_texts(df: DataFrame, text: str = "value", strict: bool = False) -> DataFrame:
@@ -100,30 +107,36 @@ def normalize_emulation_texts(df: DataFrame, text: str = "value", strict: bool =
         .when(_present("host"), _text("host", True))
         .otherwise(F.lit(UNKNOWN_HOST)),
         _logon=whole_number(_text("LogonType", True), INTEGER_FIELD_TEXT),
+        _logon_given=_given("LogonType"),
+        _number_given=_present("EventID"),
+        _broken=_broken(),
+        _wrong_type=_not_text([*names, "Hostname", "host"]) if strict else F.lit(False),
+        _host=_text("Hostname", True),
+        _record=_text("RecordNumber", True),
+        **_texts(names, strict),
     )
-    columns = {JSON_FIELDS[name]: _text(name, strict) for name in names}
+    columns = {JSON_FIELDS[name]: F.col(f"_{name}") for name in names}
     columns |= {
         "event_id": F.col("_number"),
         "timestamp": F.col("_time"),
         "computer": F.col("_computer"),
-        "hostname_raw": _text("Hostname", True),
+        "hostname_raw": F.col("_host"),
         "logon_type": F.col("_logon"),
         "source_dataset": F.col("source_dataset"),
         "source_file": F.col("source_file"),
         "source_format": F.lit(JSON_FORMAT),
-        "record_id": _text("RecordNumber", True),
+        "record_id": F.col("_record"),
         "label": F.col("label"),
     }
     checks = [
         _malformed(),
-        (~_present("EventID"), "no_event_id"),
+        (~F.col("_number_given"), "no_event_id"),
         (columns["event_id"].isNull(), "bad_event_id"),
         (columns["timestamp"].isNull(), "bad_time"),
         (columns["computer"].isNull(), "no_computer"),
-        (_given("LogonType") & columns["logon_type"].isNull(), "bad_logon_type"),
+        (F.col("_logon_given") & columns["logon_type"].isNull(), "bad_logon_type"),
+        (F.col("_wrong_type"), "not_text"),
     ]
-    if strict:
-        checks.append((_not_text([*names, "Hostname", "host"]), "not_text"))
     return finish(rows, columns, checks)
 
 
@@ -143,8 +156,12 @@ def normalize_canonical_texts(df: DataFrame, text: str = "value", strict: bool =
         _time=validated_time(_text("timestamp", True)),
         _computer=F.when(_present("computer"), _text("computer", True)).otherwise(F.lit(UNKNOWN_HOST)),
         _logon=whole_number(_text("logon_type", True), INTEGER_FIELD_TEXT),
+        _logon_given=_given("logon_type"),
+        _broken=_broken(),
+        _wrong_type=_not_text([*names, "computer"]) if strict else F.lit(False),
+        **_texts(names, strict),
     )
-    columns = {name: _text(name, strict) for name in names}
+    columns = {name: F.col(f"_{name}") for name in names}
     columns |= {
         "event_id": F.col("_number"),
         "timestamp": F.col("_time"),
@@ -159,11 +176,10 @@ def normalize_canonical_texts(df: DataFrame, text: str = "value", strict: bool =
         (columns["event_id"].isNull(), "bad_event_id"),
         (columns["timestamp"].isNull(), "bad_time"),
         (columns["computer"].isNull(), "no_computer"),
-        (_given("logon_type") & columns["logon_type"].isNull(), "bad_logon_type"),
+        (F.col("_logon_given") & columns["logon_type"].isNull(), "bad_logon_type"),
         (no_source, "no_source"),
+        (F.col("_wrong_type"), "not_text"),
     ]
-    if strict:
-        checks.append((_not_text([*names, "computer"]), "not_text"))
     columns["source_file"] = F.coalesce(columns["source_file"], "_file")
     return finish(rows, columns, checks)
 

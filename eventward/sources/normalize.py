@@ -41,10 +41,11 @@ def first_reason(checks: list[tuple[Column, str]]) -> Column:
 
 
 def sealed(df: DataFrame, **parsed: Column) -> DataFrame:
-    """Add parsed columns below a generator, which neither filters nor projections pass.
+    """Add values taken from a parsed record, behind a generator that filters do not pass.
 
     A filter on the reject reason would otherwise be moved below the parsing, and each check
-    and each column that uses a parsed value would parse it again.
+    would parse the record again. All that later columns need must be a plain value here, so
+    that one generator is enough and none of its fields is taken apart above it.
     """
     row = F.struct(*[value.alias(name) for name, value in parsed.items()])
     return df.select("*", F.inline(F.array(row)))

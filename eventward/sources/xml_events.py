@@ -37,9 +37,9 @@ def _accepted_data(df: DataFrame) -> DataFrame:
         lambda d: d["_Name"].isin(known) & value(d).isNotNull() & (value(d) != "")
         & ~value(d).isin(*XML_EMPTY_MARKS),
     )
-    df = sealed(df, _usable=usable)
     renamed = F.transform("_usable", lambda d: F.when(d["_Name"] == "TargetSid", "TargetUserSid").otherwise(d["_Name"]))
-    return sealed(df, _names=renamed, _values=F.col("_usable._VALUE"))
+    df = df.withColumn("_usable", usable)
+    return df.withColumns({"_names": renamed, "_values": F.col("_usable._VALUE")})
 
 
 def _data_value(name: str) -> Column:
@@ -51,13 +51,22 @@ def _normalize(df: DataFrame) -> DataFrame:
     df = _accepted_data(df)
     event_text = F.col("_event.System.EventID._VALUE")
     time_text = F.col("_event.System.TimeCreated._SystemTime")
-    computer = F.coalesce("_event.System.Computer", F.lit(UNKNOWN_HOST))
     logon_text = _data_value("LogonType")
+    names = {name: target for name, target in XML_FIELDS.items() if name != "TargetSid"}
     df = sealed(
-        df, _number=whole_number(event_text), _time=xml_time(time_text),
+        df,
+        _number=whole_number(event_text),
+        _time=xml_time(time_text),
         _logon=whole_number(logon_text, INTEGER_FIELD_TEXT),
+        _computer=F.coalesce("_event.System.Computer", F.lit(UNKNOWN_HOST)),
+        _record=F.nullif(F.col("_event.System.EventRecordID"), F.lit("")),
+        _no_system=F.col("_event.System").isNull(),
+        _no_number=event_text.isNull() | (event_text == ""),
+        _no_time=time_text.isNull(),
+        **{f"_{name}": _data_value(name) for name in names},
     )
-    columns = {target: _data_value(name) for name, target in XML_FIELDS.items() if name != "TargetSid"}
+    computer = F.col("_computer")
+    columns = {target: F.col(f"_{name}") for name, target in names.items()}
     columns |= {
         "event_id": F.col("_number"),
         "timestamp": F.col("_time"),
@@ -67,20 +76,20 @@ def _normalize(df: DataFrame) -> DataFrame:
         "source_dataset": F.col("source_dataset"),
         "source_file": F.col("source_file"),
         "source_format": F.lit(XML_FORMAT),
-        "record_id": F.nullif(F.col("_event.System.EventRecordID"), F.lit("")),
+        "record_id": F.col("_record"),
         "label": F.col("label"),
         "mitre_tactic": F.col("tactic"),
         "mitre_technique": F.col("technique"),
     }
     checks = [
         (F.col("_corrupt").isNotNull(), "malformed_xml"),
-        (F.col("_event.System").isNull(), "no_system"),
-        (event_text.isNull() | (event_text == ""), "no_event_id"),
+        (F.col("_no_system"), "no_system"),
+        (F.col("_no_number"), "no_event_id"),
         (columns["event_id"].isNull(), "bad_event_id"),
-        (time_text.isNull(), "no_time"),
+        (F.col("_no_time"), "no_time"),
         (columns["timestamp"].isNull(), "bad_time"),
         (computer == "", "no_computer"),
-        (logon_text.isNotNull() & columns["logon_type"].isNull(), "bad_logon_type"),
+        (F.col("_LogonType").isNotNull() & columns["logon_type"].isNull(), "bad_logon_type"),
         (F.col("source_dataset").isNull() | F.col("source_file").isNull(), "no_source"),
     ]
     return finish(df, columns, checks)
@@ -91,7 +100,7 @@ def normalize_xml_texts(df: DataFrame, text: str = "xml") -> DataFrame:
 
     `df` needs ord, source_dataset, source_file, label, tactic and technique besides the text.
     """
-    parsed = sealed(df, _event=F.from_xml(F.col(text), _WITH_CORRUPT, _OPTIONS))
+    parsed = df.withColumn("_event", F.from_xml(F.col(text), _WITH_CORRUPT, _OPTIONS))
     corrupt = F.when(F.col("_event").isNull() | F.col("_event._corrupt").isNotNull(), F.col(text))
     return _normalize(parsed.withColumns({"_corrupt": corrupt, RAW: F.col(text)}))
 

@@ -274,3 +274,20 @@ def test_sinks(spark, split, tmp_path):
     write_label_list(split.select("label").distinct(), str(tmp_path / "l"))
     lines = [r.value for r in spark.read.text(str(tmp_path / "l")).collect()]
     assert lines == sorted(lines) and len(lines) == 6
+
+
+def test_any_columns_of_the_event_table(spark, events):
+    """Pruning to any one column must not disturb the parsing."""
+    from eventward.plans.queries import canonical_texts, json_texts, xml_texts
+    from eventward.schema import EVENT_COLUMNS
+
+    tables = [
+        normalize_xml_texts(xml_texts(events)), normalize_emulation_texts(json_texts(events)),
+        normalize_emulation_texts(json_texts(events), strict=True), normalize_canonical_texts(canonical_texts(events)),
+    ]
+    for table in tables:
+        good = accepted(table)
+        for columns in (["event_id"], ["timestamp", "logon_type"], ["record_id", "target_user_sid"], ["computer"]):
+            assert len(good.select(*columns).collect()) == 1000
+        assert good.select(F.count("event_id"), F.min("timestamp")).first()[0] == 1000
+        assert good.columns == ["ord", *EVENT_COLUMNS]
