@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.quality import apply_rules
+from llm.tokens import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,8 +26,15 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    counted = count_tokens(documents, public_tokenizers.path("word_bpe_49k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
+    "op9_token_counts": op9_token_counts,
 }
 
 ORACLE: dict[str, str] = {}
