@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from llm.decontaminate import find_contamination
 from llm.quality import apply_rules
 from llm.tokens import count_tokens
 
@@ -32,8 +33,22 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    found = find_contamination(documents, table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("hit_items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
+    "op10_decontamination": op10_decontamination,
     "op9_token_counts": op9_token_counts,
 }
 
