@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import drop_columns, map_batches, stored
+from llm.common import drop_columns, map_batches, ship, stored
 
 WINDOW = 10
 #: (window, item) pairs that one pass over the documents looks for. It bounds what is collected
@@ -155,6 +155,7 @@ def find_contamination(
     never shuffled; their words are counted in one pass and matched in a second, once for every
     `pairs_a_pass` pairs of item and window.
     """
+    ship(docs.sparkSession)
     docs = drop_columns(docs, "n_words", "hit_spans", "n_hit", "hit_items")
     pairs = stored(item_windows(items, item_id, item_text, size), "item-windows")
     blocks = max(1, -(-pairs.count() // pairs_a_pass))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from llm.decontaminate import find_contamination
 from llm.quality import apply_rules
+from llm.simhash import near_duplicate_groups
 from llm.tokens import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,8 +47,13 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicate_groups(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
+    "op7_simhash": op7_simhash,
     "op10_decontamination": op10_decontamination,
     "op9_token_counts": op9_token_counts,
 }

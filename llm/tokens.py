@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import drop_columns
+from llm.common import drop_columns, ship
 
 #: Words and pieces whose counts a Python worker remembers; a full memory is emptied.
 MEMORY = 400_000
@@ -175,6 +175,7 @@ def count_tokens(df: DataFrame, tokenizer_path: str, text: str = "text", limit:
     empty, and columns of the three names are replaced. Nothing is shuffled; the merge table is
     broadcast and its size is that of the tokenizer file.
     """
+    ship(df.sparkSession)
     rules = df.sparkSession.sparkContext.broadcast(read_rules(tokenizer_path))
 
     @F.arrow_udf("bigint")
