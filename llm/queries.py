@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.decontaminate import find_contamination
+from llm.language_model import score_texts
 from llm.quality import apply_rules
 from llm.simhash import near_duplicate_groups
 from llm.tokens import count_tokens
@@ -51,8 +52,13 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicate_groups(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op3_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return score_texts(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_language_model": op3_language_model,
     "op7_simhash": op7_simhash,
     "op10_decontamination": op10_decontamination,
     "op9_token_counts": op9_token_counts,
