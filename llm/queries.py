@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.decontaminate import find_contamination
 from llm.language_model import score_texts
+from llm.personal_data import KINDS, find_personal_data
 from llm.quality import apply_rules
 from llm.simhash import near_duplicate_groups
 from llm.tokens import count_tokens
@@ -56,9 +57,28 @@ def op3_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return score_texts(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_personal_data(table(spark, folder, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint")
+
+    def named(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id",
+        *[number(kind).alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(named(base), 256).alias("base_sha256"),
+        named(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_language_model": op3_language_model,
+    "op5_personal_data": op5_personal_data,
     "op7_simhash": op7_simhash,
     "op10_decontamination": op10_decontamination,
     "op9_token_counts": op9_token_counts,
