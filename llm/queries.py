@@ -13,6 +13,7 @@ from llm.language_model import score_texts
 from llm.personal_data import KINDS, find_personal_data
 from llm.quality import apply_rules
 from llm.simhash import near_duplicate_groups
+from llm.toxicity import score_toxicity
 from llm.tokens import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,9 +76,16 @@ def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    scored = score_toxicity(documents, table(spark, folder, "labels"))
+    return scored.withColumn("n_passages", F.size("passages")).drop("passages")
+
+
 QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_language_model": op3_language_model,
+    "op4_toxicity": op4_toxicity,
     "op5_personal_data": op5_personal_data,
     "op7_simhash": op7_simhash,
     "op10_decontamination": op10_decontamination,
