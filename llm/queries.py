@@ -13,8 +13,9 @@ from llm.language_model import score_texts
 from llm.personal_data import KINDS, find_personal_data
 from llm.quality import apply_rules
 from llm.simhash import near_duplicate_groups
-from llm.toxicity import score_toxicity
+from llm.substrings import remove_repeated
 from llm.tokens import count_tokens
+from llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,9 +83,18 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("n_passages", F.size("passages")).drop("passages")
 
 
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = remove_repeated(table(spark, folder, "documents").select("doc_id", "text"))
+    spans = F.transform("removed", lambda s: F.concat_ws(":", s["start"], s["end"]))
+    return cleaned.select(
+        "doc_id", "text", F.size("removed").alias("n_removed"), F.array_join(spans, ",").alias("removed")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_language_model": op3_language_model,
+    "op1_substring_dedup": op1_substring_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_personal_data": op5_personal_data,
     "op7_simhash": op7_simhash,
