@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from llm.decontaminate import find_contamination
 from llm.language_model import score_texts
+from llm.mixing import mix_sources
 from llm.personal_data import KINDS, find_personal_data
+from llm.oracle import SQL
 from llm.quality import apply_rules
 from llm.simhash import near_duplicate_groups
 from llm.substrings import remove_repeated
@@ -91,15 +93,21 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mix_sources(table(spark, folder, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "source", "copy", "shuffle_key", "text")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op3_language_model": op3_language_model,
-    "op1_substring_dedup": op1_substring_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_personal_data": op5_personal_data,
+    "op6_mixing": op6_mixing,
     "op7_simhash": op7_simhash,
-    "op10_decontamination": op10_decontamination,
     "op9_token_counts": op9_token_counts,
+    "op10_decontamination": op10_decontamination,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(SQL)
