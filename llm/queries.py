@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.decontaminate import find_contamination
+from llm.html_text import extract_main_text
 from llm.language_model import score_texts
 from llm.mixing import mix_sources
 from llm.personal_data import KINDS, find_personal_data
@@ -98,6 +99,11 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "source", "copy", "shuffle_key", "text")
 
 
+def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    extracted = extract_main_text(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return extracted.select("page_id", "url", "text", "n_chars")
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -106,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op5_personal_data": op5_personal_data,
     "op6_mixing": op6_mixing,
     "op7_simhash": op7_simhash,
+    "op8_html_extraction": op8_html_extraction,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
 }
