@@ -47,7 +47,7 @@ _PARTS = re.compile(r"[a-z]+")
 PATH_CELLS, WORD_CELLS = 1024, 512
 PATH_SIZE, WORD_SIZE, FIGURES, HIDDEN = 24, 12, 7, 24
 #: Generated pages to train on, passes over them, and the seed; the model depends on nothing else.
-TRAINING_PAGES, PASSES, SEED = 600, 6, 11
+TRAINING_PAGES, PASSES, SEED = 900, 7, 11
 #: Blocks (with padding) that are labelled at once.
 BATCH_BLOCKS = 20_000
 _MEMORY = 200_000
