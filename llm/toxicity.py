@@ -27,6 +27,9 @@ WORD_CELLS, START_CELLS = 1 << 20, 1 << 16
 START_LETTERS = 5
 #: Strength of the priors, in documents, and what every token costs a segment.
 WORD_PRIOR, START_PRIOR, DRIFT = 12.0, 12.0, 0.35
+#: Labelled rows to learn from, about: beyond this number a share of them is drawn by a hash of the
+#: id. It bounds what is broadcast to find their texts (a few MB).
+MOST_LABELS = 200_000
 #: Segments with a lower score are not kept; chance alone gives such in most texts.
 LEAST_SEGMENT = 1.5
 _EDGES = ".,;:!?\"'()[]{}<>|#*$%&-_+=/\\«»“”„‘’…"
@@ -98,22 +101,11 @@ def maximal_segments(scores: np.ndarray, least: float) -> list[tuple[int, int, f
 
 
 def count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (toxic, cells as bytes) to sums per cell, each word once per document."""
+    """Rows (toxic, text) to sums per cell, each word once per document."""
     toxic, clean = (np.zeros(WORD_CELLS + START_CELLS, np.int64) for _ in range(2))
-    for batch in batches:
-        for label, cell in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            (toxic if label else clean)[np.frombuffer(cell, np.int32)] += 1
-    some = np.flatnonzero(toxic + clean)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(some.astype(np.int32)), pa.array(toxic[some]), pa.array(clean[some])], ["cell", "toxic", "clean"]
-    )
-
-
-def document_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     memory: dict[str, tuple[int, int]] = {}
     for batch in batches:
-        out = []
-        for text in batch.column(1).to_pylist():
+        for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             mine = set()
             for token in set(tokens_of(text)):
                 if token:
@@ -122,8 +114,11 @@ def document_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                             memory.clear()
                         pair = memory[token] = cells(token)
                     mine.update(pair)
-            out.append(np.fromiter(sorted(mine), np.int32, len(mine)).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["id", "cells"])
+            (toxic if label else clean)[np.fromiter(mine, np.int64, len(mine))] += 1
+    some = np.flatnonzero(toxic + clean)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(some.astype(np.int32)), pa.array(toxic[some]), pa.array(clean[some])], ["cell", "toxic", "clean"]
+    )
 
 
 def fit_extremes(counts: dict[tuple[int, int], int]) -> tuple[float, float]:
@@ -170,17 +165,19 @@ def fit_curve(counts: dict[int, tuple[int, int]]) -> tuple[float, float]:
 
 
 def score_toxicity(
-    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", fold: int = 5
-) -> DataFrame:
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", fold: int = 5,
+    most_labels: int = MOST_LABELS,
+) -> DataFrame:
     """(id, held_out, score, predicted, n_tokens, evidence, passages) of every row of `docs`.
 
     Learns from rows of `labels` whose crc32 of the id as text does not leave 0 modulo `fold`;
-    null labels and ids teach nothing, a document labelled twice teaches twice. Passages are the
+    null labels and ids teach nothing, a document labelled twice teaches twice. Of more than
+    `most_labels` such rows a share drawn by hash is learnt from; all texts are scored. Passages are the
     segments beyond chance: first and last token (exclusive), score, and the number of such
     expected by chance in the text. Null, empty and wordless texts have none and get the score
-    of no evidence. Without labels, or with one class only, all get the smoothed rate. Repeated
-    rows are scored alike; an empty table gives no rows. Texts are never shuffled: cells of
-    counts are, and one narrow row per document.
+    of no evidence. Without labels all get the smoothed rate. Repeated rows are scored alike; an
+    empty table gives no rows. Texts are never shuffled: cells of counts are, as many as the
+    tables have, and their sums are collected.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -190,8 +187,13 @@ def score_toxicity(
     known = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("toxic"))
     known = known.filter(F.col("toxic").isNotNull() & F.col("id").isNotNull() & (fold_of(F.col("id")) != 0))
 
-    in_cells = narrow.filter(fold_of(F.col("id")) != 0).mapInArrow(document_cells, f"id {id_type}, cells binary")
-    taught = in_cells.join(known, "id").select((F.col("toxic") > 0).alias("toxic"), "cells")
+    total = known.count()
+    if total > most_labels:
+        known = known.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 40)) < int(most_labels / total * (1 << 40)))
+    # At most about `most_labels` narrow rows, so every task can have them all.
+    known = F.broadcast(stored(known, "toxic-labels"))
+
+    taught = narrow.join(known, "id").select((F.col("toxic") > 0).alias("toxic"), "text")
     parts = taught.mapInArrow(count_cells, "cell int, toxic bigint, clean bigint")
     sums = parts.groupBy("cell").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     found = sums.toArrow()  # as many rows as there are cells
@@ -222,7 +224,7 @@ def score_toxicity(
     scanned = stored(scanned, "toxic-segments")
     length = F.greatest(F.col("n_tokens"), F.lit(1)).cast("double")
     best = F.coalesce(F.array_max(F.transform("spans", lambda s: s["score"])), F.lit(0.0))
-    taught = scanned.filter(fold_of(F.col("id")) != 0).join(known, "id")
+    taught = scanned.join(known, "id")
     cleans = taught.filter("toxic <= 0").groupBy(
         F.round(F.log2(length)).cast("int").alias("length"), F.round(F.least(best, F.lit(200.0)) * 4).cast("int").alias("best")
     ).count()
@@ -231,7 +233,7 @@ def score_toxicity(
     beyond = lambda s: s["score"] * decay - (F.log(length) + log_k)
     evidence = F.aggregate("spans", F.lit(0.0), lambda acc, s: acc + F.greatest(beyond(s), F.lit(0.0)))
     bins = scanned.withColumn("evidence", evidence)
-    seen = bins.filter(fold_of(F.col("id")) != 0).join(known, "id").groupBy(
+    seen = bins.join(known, "id").groupBy(
         F.round(F.least("evidence", F.lit(100.0)) * 4).cast("int").alias("bin")
     ).agg(F.count_if(F.col("toxic") <= 0).alias("clean"), F.count_if(F.col("toxic") > 0).alias("toxic"))
     bias, slope = fit_curve({row["bin"]: (row["clean"], row["toxic"]) for row in seen.collect()})
