@@ -103,9 +103,10 @@ def related_events(
                                                   F.col("_row.label").alias("label")))).alias("_found"))
         .select(*_KEY, F.slice("_found", 1, limit).alias("_found"))
     )
+    asked = detections.withColumn("_eid", F.col("_eid").cast("int")).alias("d")
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"s.{c}")) for c in _KEY]  # an event id may be null
     return (
-        detections.withColumn("_eid", F.col("_eid").cast("int"))
-        .join(shown, _KEY)
+        asked.join(shown.alias("s"), same)
         .select("ord", F.posexplode("_found").alias("_pos", "_hit"))
         .select("ord", (F.col("_pos") + 1).alias("rank"), "_hit.*")
     )

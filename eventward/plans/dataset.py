@@ -3,23 +3,24 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventward.catalog import EMULATION_LABELS
 from eventward.operators.cleaning import deduplicate
 from eventward.session import prepare
 from eventward.sources.json_events import read_canonical_events, read_emulation_events
-from eventward.sources.normalize import accepted, quarantined
+from eventward.sources.normalize import FILE_BITS, accepted, quarantined
 from eventward.sources.xml_events import read_manifest_events
 
-# Manifest entries come first, then the emulation files, then the canonical file.
-_EMULATION_RANK = 100_000
-_CANONICAL_RANK = 200_000
+# Manifest entries come first, then the emulation files, then the canonical files: a million
+# numbers of files for each.
+_EMULATION_RANK = 1 << 20
+_CANONICAL_RANK = 2 << 20
 
 
-def _in_sequence(df: DataFrame, rank: Column) -> DataFrame:
-    return df.withColumn("ord", F.shiftleft(rank.cast("long"), 44) + F.col("ord"))
+def _in_sequence(df: DataFrame, rank: int) -> DataFrame:
+    return df.withColumn("ord", F.lit(rank << FILE_BITS) + F.col("ord"))
 
 
 def _if_there(read) -> DataFrame | None:
@@ -46,12 +47,11 @@ def read_sources(
         parts.append(_if_there(lambda: read_manifest_events(spark, xml_root, manifest)))
     if emulation_folder:
         files = f"{emulation_folder.rstrip('/')}/{{{','.join(EMULATION_LABELS)}}}.json"
-        place = F.array_position(F.array(*[F.lit(x) for x in EMULATION_LABELS]), F.col("source_dataset"))
         emulation = _if_there(lambda: read_emulation_events(spark, files, strict=strict))
-        parts.append(emulation and _in_sequence(emulation, F.lit(_EMULATION_RANK) + place))
+        parts.append(emulation and _in_sequence(emulation, _EMULATION_RANK))
     if canonical_path:
         canonical = _if_there(lambda: read_canonical_events(spark, canonical_path))
-        parts.append(canonical and _in_sequence(canonical, F.lit(_CANONICAL_RANK)))
+        parts.append(canonical and _in_sequence(canonical, _CANONICAL_RANK))
     found = [p for p in parts if p is not None]
     if not found:
         raise ValueError("no source found")

@@ -644,8 +644,9 @@ def classification_report_labels(spark, folder):
 
 @query
 def confusion_matrix(spark, folder):
-    classes = ["benign", "mimikatz", "pass_the_hash"]
-    return evaluation.confusion_matrix(with_majority_label(split_events(spark, folder)), "label", "guess", classes)
+    scored = with_majority_label(split_events(spark, folder))
+    classes = evaluation.class_names(scored, "label", "guess")
+    return evaluation.confusion_matrix(scored, "label", "guess", classes)
 
 
 @query

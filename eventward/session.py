@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -24,7 +25,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if not folder:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="eventward-")
         spark.conf.set("spark.checkpoint.dir", folder)

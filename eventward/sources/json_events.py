@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventward.catalog import JSON_FIELDS, JSON_FORMAT, UNKNOWN_HOST
+from eventward.catalog import EMULATION_LABELS, JSON_FIELDS, JSON_FORMAT, UNKNOWN_HOST
 from eventward.functions.times import validated_time
 from eventward.schema import LABEL_FIELDS, ORIGIN_FIELDS, STRING_FIELDS
 from eventward.sources.normalize import (
@@ -13,27 +15,41 @@ from eventward.sources.normalize import (
     RAW,
     file_ordinal,
     finish,
+    in_file_order,
     sealed,
     whole_number,
 )
 from eventward.sources.xml_events import source_name
 
 
-# Standard JSON only; the whole line is kept where it is none.
-_OPTIONS = {"columnNameOfCorruptRecord": "_corrupt", "allowSingleQuotes": "false"}
+# Standard JSON only.
+_OPTIONS = {"allowSingleQuotes": "false"}
+# Fixed value: white space around a line, as Unicode has it.
+_SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 def _parsed(df: DataFrame, text: str, texts: list[str], variants: list[str], strict: bool) -> DataFrame:
-    """Parse each line once into `_fields`. Blank lines are no records.
+    """Parse each line once into `_fields`, null where it is not one object. Blank lines are no records.
+
+    A line is read as the content of a list, which must have one element: a parser of single
+    objects would stop at the end of the first and take no notice of what follows it.
 
     Variant fields keep the JSON type and tell a null from an absent key. Text fields read
     numbers as text; with `strict` they are variants too, so that their type can be checked.
     """
     types = {name: "variant" if strict else "string" for name in texts}
-    types |= {name: "variant" for name in variants} | {"_corrupt": "string"}
+    types |= {name: "variant" for name in variants}
     schema = ", ".join(f"`{name}` {kind}" for name, kind in types.items())
-    fields = F.from_json(F.col(text), schema, _OPTIONS)
-    return df.where(F.trim(F.col(text)) != "").withColumns({RAW: F.col(text), "_fields": fields})
+    line = F.regexp_replace(F.col(text), f"^{_SPACE}+|{_SPACE}+$", "")
+    listed = F.from_json(F.concat(F.lit("["), line, F.lit("]")), f"array<struct<{schema.replace('` ', '`:')}>>", _OPTIONS)
+    # An array function on a single list keeps the parsing in one place.
+    single = F.aggregate(
+        listed,
+        F.struct(F.lit(0).alias("n"), F.lit(None).cast(f"struct<{schema.replace('` ', '`:')}>").alias("it")),
+        lambda acc, x: F.struct((acc["n"] + 1).alias("n"), x.alias("it")),
+        lambda acc: F.when(acc["n"] == 1, acc["it"]),
+    )
+    return df.where(line != "").withColumns({RAW: F.col(text), "_fields": single})
 
 
 def _value(key: str) -> Column:
@@ -65,6 +81,7 @@ def _is_text(key: str) -> Column:
 def _event_number(key: str) -> Column:
     """Texts must be whole numbers; numbers are cut to whole ones."""
     as_number = F.try_variant_get(_value(key), "$", "double")
+    as_number = F.when(~F.isnan(as_number), as_number)
     number = F.when(as_number >= 0, F.floor(as_number)).otherwise(F.ceil(as_number))
     return F.when(_is_text(key), whole_number(_text(key, True))).otherwise(number.try_cast("int"))
 
@@ -82,7 +99,7 @@ def _malformed() -> tuple[Column, str]:
 
 
 def _broken() -> Column:
-    return _value("_corrupt").isNotNull() | ~F.endswith(F.rtrim(F.col(RAW)), F.lit("}"))
+    return F.col("_fields").isNull()
 
 
 def normalize_emulation_texts(df: DataFrame, text: str = "value", strict: bool = False) -> DataFrame:
@@ -184,11 +201,13 @@ def normalize_canonical_texts(df: DataFrame, text: str = "value", strict: bool =
     return finish(rows, columns, checks)
 
 
-def scan_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Text lines with their place and file name."""
-    return spark.read.text(paths).select(
-        "value", file_ordinal().alias("ord"), source_name().alias("source_file")
+def scan_lines(spark: SparkSession, paths: str | list[str], stems: Sequence[str] = ()) -> DataFrame:
+    """Text lines with their place, counted over all files, and file name."""
+    lines = spark.read.text(paths)
+    numbered = lines.select(
+        "value", file_ordinal().alias("ord"), source_name().alias("source_file"), F.col("_metadata.file_path").alias("_path")
     )
+    return in_file_order(numbered, lines.inputFiles(), stems)
 
 
 def file_stem() -> Column:
@@ -198,9 +217,12 @@ def file_stem() -> Column:
 def read_emulation_events(
     spark: SparkSession, paths: str | list[str], source_dataset: str | None = None, strict: bool = False
 ) -> DataFrame:
-    """Scan emulation captures; the data set and the label are the file name without suffix."""
+    """Scan emulation captures; the data set and the label are the file name without suffix.
+
+    Files come in the order of the known captures, then of paths.
+    """
     dataset = file_stem() if source_dataset is None else F.lit(source_dataset)
-    lines = scan_lines(spark, paths).withColumns({"source_dataset": dataset, "label": file_stem()})
+    lines = scan_lines(spark, paths, EMULATION_LABELS).withColumns({"source_dataset": dataset, "label": file_stem()})
     return normalize_emulation_texts(lines, strict=strict)
 
 

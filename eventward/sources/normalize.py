@@ -7,10 +7,15 @@ and rejected rows stay in one DataFrame, so that one scan can feed both tables.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventward.schema import EVENT_COLUMNS, EVENT_SCHEMA, ORDINAL
+from eventward.session import stored
 
 REASON = "reject_reason"
 RAW = "raw"
@@ -35,6 +40,34 @@ def file_ordinal() -> Column:
     return F.col("_metadata.file_block_start") + in_task
 
 
+#: Bits of `ord` for the place in a file (a terabyte); the file's number stands above them.
+FILE_BITS = 40
+
+
+def in_file_order(rows: DataFrame, files: list[str], stems: Sequence[str] = ()) -> DataFrame:
+    """Put the number of a row's file above its place in `ord`; drops `_path`.
+
+    Files stand in order of `stems`, where their names without suffix are listed, then of paths.
+
+    The list of files is the one that Spark's scan has made; no file is opened for it. The
+    numbers are joined by the size of the stored table.
+    """
+    spark = rows.sparkSession
+    place_of = {stem: place for place, stem in enumerate(stems)}
+
+    def order(path: str) -> tuple[int, str]:
+        return place_of.get(re.sub(r"\.[^.]*$", "", unquote(path.rsplit("/", 1)[-1])), len(stems)), path
+
+    # A file's address comes with one slash behind the scheme or with three, encoded or not.
+    named = [(number, unquote(re.sub(r"^(\w+):/+", r"\1:/", path))) for number, path in enumerate(sorted(set(files), key=order))]
+    numbers = stored(spark.createDataFrame(named, "_file bigint, _path string"), "file-order")
+    path = F.regexp_replace("_path", r"^(\w+):/+", "$1:/")
+    path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    unknown = F.raise_error(F.concat(F.lit("no number for file "), F.col("_path"))).cast("bigint")
+    place = F.shiftleft(F.coalesce("_file", unknown), FILE_BITS) + F.col("ord")
+    return rows.withColumn("_path", path).join(numbers, "_path", "left").withColumn("ord", place).drop("_file", "_path")
+
+
 def first_reason(checks: list[tuple[Column, str]]) -> Column:
     return F.coalesce(*[F.when(F.coalesce(failed, F.lit(True)), F.lit(name)) for failed, name in checks],
                       F.lit(None).cast("string"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from eventward.catalog import UNKNOWN_HOST, XML_EMPTY_MARKS, XML_FIELDS, XML_FOR
 from eventward.functions.times import xml_time
 from eventward.sources.normalize import (
     INTEGER_FIELD_TEXT,
+    FILE_BITS,
     RAW,
     file_ordinal,
     finish,
@@ -22,7 +25,10 @@ EVENT_XML = (
     "EventData struct<Data array<struct<_Name string, _VALUE string>>>"
 )
 _WITH_CORRUPT = f"{EVENT_XML}, _corrupt string"
-_OPTIONS = {"rowTag": "Event", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+_OPTIONS = {
+    "rowTag": "Event", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt",
+    "ignoreSurroundingSpaces": "false",
+}
 
 
 def _accepted_data(df: DataFrame) -> DataFrame:
@@ -166,7 +172,8 @@ def read_manifest_file(spark: SparkSession, path: str) -> DataFrame:
 def read_manifest_events(spark: SparkSession, root: str, manifest: DataFrame | None = None) -> DataFrame:
     """Scan `<root>/<category>/<file>[.xml]` for the manifest's files and stamp their labels.
 
-    The manifest is a small hand-written list; it is joined by its true size. `ord` orders the
+    Files that the manifest does not name are not opened. The manifest is a small hand-written
+    list; it is joined by its true size. `ord` orders the
     rows by manifest entry, then by place in the file.
     """
     manifest = manifest_table(spark) if manifest is None else manifest
@@ -174,9 +181,16 @@ def read_manifest_events(spark: SparkSession, root: str, manifest: DataFrame | N
         "file_rank", F.col("category").alias("_category"), F.col("file").alias("source_file"),
         "label", "tactic", "technique", F.col("label").alias("source_dataset"),
     )
-    rows = _scan(spark, f"{root.rstrip('/')}/*/*").withColumn("_category", _category(F.col("_path")))
+    everything = f"{root.rstrip('/')}/*/*"
+    listed = _files(spark, everything).join(
+        manifest.select("category", "file"), ["category", "file"], "left_semi"
+    )
+    # No more than the manifest has entries; only these files are opened.
+    paths = [re.sub(r"([{}\[\]*?\\])", r"\\\1", row.path) for row in listed.select("path").collect()]
+    scanned = _scan(spark, paths) if paths else _scan(spark, everything).where(F.lit(False))
+    rows = scanned.withColumn("_category", _category(F.col("_path")))
     stamped = rows.join(entries, ["_category", "source_file"]).withColumn(
-        "ord", F.shiftleft(F.col("file_rank").cast("long"), 44) + F.col("ord")
+        "ord", F.shiftleft(F.col("file_rank").cast("long"), FILE_BITS) + F.col("ord")
     )
     return _normalize(stamped)
 
@@ -184,10 +198,15 @@ def read_manifest_events(spark: SparkSession, root: str, manifest: DataFrame | N
 def missing_manifest_files(spark: SparkSession, root: str, manifest: DataFrame | None = None) -> DataFrame:
     """Manifest entries without a file. Only the listing is read, no file content."""
     manifest = manifest_table(spark) if manifest is None else manifest
-    found = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*/*").select("path")
+    return manifest.join(_files(spark, f"{root.rstrip('/')}/*/*"), ["category", "file"], "left_anti")
+
+
+def _files(spark: SparkSession, pattern: str) -> DataFrame:
+    """Category, name and path of the files there are. Their content is not read."""
+    found = spark.read.format("binaryFile").load(pattern).select("path")
     path = F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B")))
-    found = found.select(
+    return found.select(
         _category(path).alias("category"),
         F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"(?i)\.xml$", "").alias("file"),
+        path.alias("path"),
     )
-    return manifest.join(found, ["category", "file"], "left_anti")

@@ -35,13 +35,12 @@ def ingest_stream(
 ):
     """Normalise each micro-batch of `stream_lines` into one table, partitioned by `accepted`.
 
-    Lines are numbered within their file as in a batch scan. A repeated batch replaces its own
-    output.
+    Lines are numbered within the micro-batch, each file's lines in their order and no number
+    twice. A repeated batch replaces its own output.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        in_task = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-        rows = normalize(batch.withColumn("ord", F.col("_block") + in_task).drop("_block"))
+        rows = normalize(batch.withColumn("ord", F.monotonically_increasing_id()).drop("_block"))
         with_quarantine(rows).write.mode("overwrite").partitionBy("accepted").parquet(f"{path}/batch={batch_id}")
 
     return (
