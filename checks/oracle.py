@@ -109,6 +109,14 @@ best AS (SELECT event_id, min_by(label, (-n, label)) AS guess FROM (
 scored AS (SELECT sp.*, coalesce(best.guess, 'benign') AS guess
   FROM sp LEFT JOIN best USING (event_id) WHERE split = 'test')"""
 
+STAGE1 = SPLIT + """,
+tactics AS (SELECT ord, coalesce(mitre_tactic, 'BENIGN') AS y, CASE WHEN ord % 7 <> 0 THEN coalesce(mitre_tactic, 'BENIGN')
+    WHEN mitre_tactic IS NULL THEN 'TA0006' ELSE 'BENIGN' END AS p FROM sp WHERE split = 'test')"""
+
+EVALUABLE = MAJORITY + """,
+evaluable AS (SELECT * FROM scored WHERE label IN (SELECT label FROM sp WHERE split = 'train')
+    AND label IN (SELECT label FROM sp WHERE split = 'test'))"""
+
 _REPORT = """
 pairs AS (SELECT CAST({y} AS VARCHAR) AS y, CAST({p} AS VARCHAR) AS p, count(*) AS n FROM {table} GROUP BY ALL),
 classes AS (SELECT y AS class FROM pairs UNION SELECT p FROM pairs),
@@ -436,6 +444,16 @@ ORACLE: dict[str, str] = {
         ELSE 'DC=unknown' END AS dn FROM sec"""),
     "scorable_rows": _of_sec("""SELECT CASE WHEN ord % 50 = 0 THEN 'malformed_json' ELSE 'accepted' END AS outcome,
         count(*) AS n FROM sec GROUP BY ALL"""),
+    "json_odd_lines": _of_sec("""SELECT ord % 5 AS kind, CASE WHEN ord % 5 IN (1, 2) THEN 'malformed_json'
+        WHEN ord % 5 = 4 THEN 'bad_event_id' ELSE 'accepted' END AS outcome, count(*) AS n FROM sec GROUP BY ALL"""),
+    "file_sources": _of_sec(f"""SELECT ord, source_file, record_id, (SELECT count(*) FROM sec) AS n_rows,
+        (SELECT count(*) FROM sec) AS n_numbers FROM ({_FIRST_OF_RECORD}) WHERE copy = 1"""),
+    "event_table_round_trip": _of_sec("SELECT ord, event_id, computer, label, record_id, label AS csv_label FROM sec"),
+    "stage1_report": _with(STAGE1, "").rstrip() + "," + _REPORT.format(y="y", p="p", table="tactics"),
+    "stage1_confusion": _with(STAGE1, "SELECT y, p, count(*) AS n FROM tactics GROUP BY ALL"),
+    "evaluable_report": _with(EVALUABLE, "").rstrip() + "," + _REPORT.format(y="label", p="guess", table="evaluable"),
+    "evaluable_error_destinations": _with(EVALUABLE, """SELECT guess AS predicted_label, count(*) AS n
+        FROM evaluable WHERE label <> guess GROUP BY guess"""),
     "representative_events": _of_sec("""SELECT label, ord, event_id, subject_user_name, us FROM (
         SELECT *, row_number() OVER (PARTITION BY label ORDER BY n DESC, event_id,
           CASE WHEN subject_user_name IS NULL THEN 1 ELSE 0 END, ord) AS rk

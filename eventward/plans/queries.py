@@ -19,13 +19,13 @@ from eventward.operators import cleaning, correlation, enrichment, evaluation, f
 from eventward.operators import detection as forests
 from eventward.operators.rolling import ROLLING_COLUMNS, add_rolling_features
 from eventward.plans import detection as plans
-from eventward.plans.dataset import build_dataset
+from eventward.plans.dataset import build_dataset, read_sources
 from eventward.schema import EVENT_COLUMNS
 from eventward.session import scratch_path, stored
 from eventward.sources.adapter import read_security_events, read_table, security_view
 from eventward.sources.json_events import normalize_canonical_texts, normalize_emulation_texts
 from eventward.sources.normalize import REASON, accepted, quarantined
-from eventward.sources.tables import preview
+from eventward.sources.tables import preview, write_events
 from eventward.sources.xml_events import normalize_xml_texts
 from eventward.streaming import feeds
 
@@ -97,6 +97,20 @@ def cut_short(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn(text, F.when(F.expr(BROKEN), half).otherwise(F.col(text)))
 
 
+def stage1_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Test rows with their tactic and one that is wrong for every seventh row."""
+    events = forests.with_stage1_target(split_events(spark, folder)).where("split = 'test'")
+    wrong = F.when(F.col("stage1_target") == forests.BENIGN_TACTIC, F.lit("TA0006")).otherwise(F.lit(forests.BENIGN_TACTIC))
+    guess = F.when(F.col("ord") % 7 == 0, wrong).otherwise(F.col("stage1_target"))
+    return events.withColumn("predicted_tactic", guess).select("ord", "stage1_target", "predicted_tactic")
+
+
+def evaluable_rows(spark: SparkSession, folder: str) -> DataFrame:
+    events = stored(split_events(spark, folder), "split-events")
+    labels = evaluation.evaluable_labels(events.where("split = 'train'"), events.where("split = 'test'"))
+    return evaluation.restrict_to(with_majority_label(events), labels)
+
+
 def predictions(events: DataFrame) -> DataFrame:
     """Fixed stand-in for model output: the true label, sometimes an unknown one, with confidences."""
     attack = F.col("label") != catalog.BENIGN_LABEL
@@ -548,7 +562,7 @@ def feature_columns(spark, folder):
 
 @query
 def feature_matrix(spark, folder):
-    table, _ = plans.features_of_split(split_events(spark, folder))
+    table, _ = plans.features_of_split(stored(split_events(spark, folder), "split-events"))
     numbers = [c for c in features.feature_columns(table.columns)]
     doubles = {"event_id_freq", ROLLING_COLUMNS[3]}
     return table.select(
@@ -572,7 +586,9 @@ def isolated_features(spark, folder):
 @query
 def rolling_profile(spark, folder):
     """Flagship: duplicates out, host-disjoint split, all features, means per split and label."""
-    events = splitting.split_train_test(cleaning.deduplicate(read_security_events(spark, folder)))
+    # Each step is read more than once below; written, it is computed once.
+    unique = stored(cleaning.deduplicate(read_security_events(spark, folder)), "unique-events")
+    events = stored(splitting.split_train_test(unique), "split-events")
     table, _ = plans.features_of_split(events)
     means = [F.round(F.avg(c), 9).alias(c) for c in (*ROLLING_COLUMNS, "event_id_freq", "is_business_hours")]
     return table.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"), *means)
@@ -737,6 +753,77 @@ def scorable_rows(spark, folder):
     return rows.groupBy(F.coalesce(REASON, F.lit("accepted")).alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def json_odd_lines(spark, folder):
+    """Lines with something behind the object, white space around it, or an id that is no number."""
+    texts = json_texts(read_security_events(spark, folder)).withColumn("kind", F.col("ord") % 5)
+    odd = texts.withColumn(
+        "value",
+        F.when(F.col("kind") == 1, F.concat_ws(" ", "value", "value"))
+        .when(F.col("kind") == 2, F.concat("value", F.lit("}")))
+        .when(F.col("kind") == 3, F.concat(F.lit("\u00a0\t"), "value", F.lit("\t\u000b")))
+        .when(F.col("kind") == 4, F.regexp_replace("value", '"EventID":"[0-9]+"', '"EventID":NaN'))
+        .otherwise(F.col("value")),
+    )
+    rows = normalize_emulation_texts(odd)
+    return rows.groupBy(
+        (F.col("ord") % 5).alias("kind"), F.coalesce(REASON, F.lit("accepted")).alias("outcome")
+    ).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def file_sources(spark, folder):
+    """Events written as captures and as several canonical files, read through all sources.
+
+    Returns the survivors of duplicate removal by the number they had before, which the lines
+    carry in a text field, and how many numbers the read table has for its rows.
+    """
+    path = scratch_path(spark, "file-sources")
+    events = read_security_events(spark, folder).withColumn("subject_logon_id", F.col("ord").cast("string"))
+    lines = canonical_texts(events).repartitionByRange(6, "ord").sortWithinPartitions("ord")
+    lines.select("value").write.text(f"{path}/canonical")
+    rows = accepted(read_sources(spark, canonical_path=f"{path}/canonical"))
+    rows = stored(rows, "read-events")
+    numbers = rows.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("ord").alias("n_numbers")).first()
+    kept = cleaning.deduplicate(rows).select(F.col("subject_logon_id").cast("long").alias("ord"), "source_file", "record_id")
+    return kept.withColumns({name: F.lit(numbers[name]) for name in ("n_rows", "n_numbers")})
+
+
+@query
+def event_table_round_trip(spark, folder):
+    """The event table through its Parquet and CSV sinks and back."""
+    path = scratch_path(spark, "event-sinks")
+    write_events(read_security_events(spark, folder), f"{path}/parquet", f"{path}/csv")
+    table = spark.read.parquet(f"{path}/parquet").select("ord", "event_id", "computer", "label", "record_id")
+    texts = spark.read.csv(f"{path}/csv", header=True).select(F.col("ord").cast("long").alias("ord"), F.col("label").alias("csv_label"))
+    return table.join(texts, "ord")
+
+
+@query
+def stage1_report(spark, folder):
+    """Tactic report of stand-in predictions on test, over all true and predicted tactics."""
+    scored = stage1_pairs(spark, folder)
+    return evaluation.classification_report(scored, "stage1_target", "predicted_tactic")
+
+
+@query
+def stage1_confusion(spark, folder):
+    scored = stage1_pairs(spark, folder)
+    pairs = evaluation.pair_counts(scored, "stage1_target", "predicted_tactic")
+    return pairs.select("y", "p", "n")
+
+
+@query
+def evaluable_report(spark, folder):
+    """Report of stand-in labels on test, over labels that train and test share."""
+    return evaluation.classification_report(evaluable_rows(spark, folder), "label", "guess")
+
+
+@query
+def evaluable_error_destinations(spark, folder):
+    return evaluation.error_destinations(evaluable_rows(spark, folder), "label", "guess")
+
+
 @query
 def representative_events(spark, folder):
     rows = correlation.representative_events(read_security_events(spark, folder))

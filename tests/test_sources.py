@@ -291,3 +291,40 @@ def test_any_columns_of_the_event_table(spark, events):
             assert len(good.select(*columns).collect()) == 1000
         assert good.select(F.count("event_id"), F.min("timestamp")).first()[0] == 1000
         assert good.columns == ["ord", *EVENT_COLUMNS]
+
+
+def test_odd_json_lines(spark):
+    good = '{"EventID":4624,%s,"Hostname":"h"}' % TIME
+    lines = [
+        good + " " + good, good + "}", good + " xyz}", good + "\t", "\t", "\u00a0", good + "," + good, "null", "[" + good + "]",
+        good.replace("4624", "NaN"), "1",
+    ]
+    table = spark.createDataFrame(
+        [(i, t, "mimikatz", "f", "mimikatz") for i, t in enumerate(lines)],
+        "ord long, value string, source_dataset string, source_file string, label string",
+    )
+    reasons = {r.ord: r.reject_reason for r in normalize_emulation_texts(table).collect()}
+    wrong = "malformed_json"
+    assert reasons == {
+        0: wrong, 1: wrong, 2: wrong, 3: None, 6: wrong, 7: wrong, 8: wrong, 9: "bad_event_id", 10: wrong,
+    }
+
+
+def test_numbers_are_unique_over_files(spark, tmp_path):
+    lines = [CANONICAL.replace('"record_id":"1"', f'"record_id":"{i}"') for i in range(12)]
+    spark.createDataFrame([(t,) for t in lines], "value string").repartition(4).write.text(str(tmp_path / "b"))
+    rows = read_sources(spark, canonical_path=str(tmp_path / "b")).collect()
+    assert len(rows) == len({r.ord for r in rows}) == 12
+    again = read_sources(spark, canonical_path=str(tmp_path / "b")).collect()
+    assert {r.record_id: r.ord for r in rows} == {r.record_id: r.ord for r in again}
+
+
+def test_unlisted_xml_files_are_not_opened(spark, raw_folder):
+    files = read_manifest_events(spark, str(raw_folder / "xml")).inputFiles()
+    assert files and not [f for f in files if "not_in_manifest" in f]
+
+
+def test_blanks_in_xml_values_stay(spark, tmp_path):
+    (tmp_path / "e.xml").write_text(event(data=data(("SubjectUserName", "  bob "))))
+    (row,) = read_event_xml(spark, str(tmp_path / "e.xml"), "d").collect()
+    assert row.subject_user_name == "  bob "
