@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventward import session
 from eventward.session import scratch_path, stored
 
 __all__ = ["SPACES", "drop_columns", "in_one_row", "lower_ascii", "map_batches", "scratch_path", "ship", "stored"]
@@ -45,29 +43,9 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-_shipped: set[str] = set()
-
-
 def ship(spark: SparkSession) -> None:
-    """Send this package and what it imports to the Python workers, once per application.
-
-    Workers then find the modules wherever they run. The archive is made on the driver's own
-    disk; Spark copies it to each executor.
-    """
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    archive = os.path.join(tempfile.mkdtemp(prefix="packages-"), "packages.zip")
-    with zipfile.ZipFile(archive, "w") as out:
-        for package in ("llm", "eventward"):
-            for folder, _, names in os.walk(os.path.join(top, package)):
-                for name in sorted(names):
-                    if name.endswith(".py"):
-                        path = os.path.join(folder, name)
-                        out.write(path, os.path.relpath(path, top))
-    context.addPyFile(archive)
-    _shipped.add(context.applicationId)
+    """Send this package and what it imports to the Python workers."""
+    session.ship(spark, "llm", "eventward")
 
 
 def map_batches(df: DataFrame, function, schema) -> DataFrame:
