@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +18,31 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_shipped: set[tuple[str, ...]] = set()
+
+
+def ship(spark: SparkSession, *packages: str) -> None:
+    """Send packages to the Python workers, once per application, so that they need no install.
+
+    The archive is made on the driver's own disk; Spark copies it to each executor.
+    """
+    context = spark.sparkContext
+    key = (context.applicationId, *packages)
+    if key in _shipped:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="packages-"), f"{'-'.join(packages)}.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for package in packages:
+            for folder, _, names in os.walk(os.path.join(top, package)):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        out.write(path, os.path.relpath(path, top))
+    context.addPyFile(archive)
+    _shipped.add(key)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables.
 

@@ -14,7 +14,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from eventward.catalog import WINDOW_SECONDS
 from eventward.functions.times import event_micros
 from eventward.operators.rolling import NO_HOST, ROLLING_COLUMNS, USER
-from eventward.session import prepare, scratch_path
+from eventward.session import prepare, scratch_path, ship
 from eventward.sources.normalize import RAW, REASON
 
 
@@ -101,10 +101,10 @@ _STATE = T.StructType(
 
 def _present(us: np.ndarray, values: pd.Series, left: np.ndarray, span: int) -> np.ndarray:
     """Distinct values in the trailing window: openings so far less closings at or before its start."""
-    times = pd.Series(us)
+    times, known = pd.Series(us), values.notna().to_numpy()  # nulls are no values
     by_value = times.groupby(values.to_numpy())
-    opens = ~(times - by_value.shift(1) < span).to_numpy()
-    closes = ~(by_value.shift(-1) - times < span).to_numpy()
+    opens = ~(times - by_value.shift(1) < span).to_numpy() & known
+    closes = ~(by_value.shift(-1) - times < span).to_numpy() & known
     closed = np.concatenate([[0], np.cumsum(closes)])
     return np.cumsum(opens) - closed[left]
 
@@ -132,7 +132,8 @@ def _rolling_step(span: int, columns: list[str]) -> Callable:
             rows.loc[~late, ROLLING_COLUMNS[3]] = (times[kept:] - before) / 1e6
             stay = times > times[-1] - span
             state.update((
-                int(times[-1]), times[stay].tolist(), [int(i) for i in all_ids[stay]], all_hosts[stay].tolist(),
+                int(times[-1]), times[stay].tolist(), [None if pd.isna(i) else int(i) for i in all_ids[stay]],
+                all_hosts[stay].tolist(),
             ))
         yield rows[columns]
 
@@ -142,11 +143,13 @@ def _rolling_step(span: int, columns: list[str]) -> Callable:
 def rolling_features_stream(events: DataFrame, seconds: int = WINDOW_SECONDS) -> DataFrame:
     """The four rolling columns on a feed: (ord, late, ...) per event with a user and a time.
 
-    State per user is the time of the last event and the events of the last window, so it does
-    not grow with the feed. Rows older than the user's last event are marked late and get no
+    State per user is the time of the last event and the events of the last window. It is kept for
+    every user seen: a processing-time timer would keep a run over all available input from
+    ending, and an event-time one would drop late rows. Rows older than the user's last event are marked late and get no
     values. A user's rows of one micro-batch meet in one task; the source's rate limit bounds
     them. Rows without a user need no state and get the fixed values.
     """
+    ship(events.sparkSession, "eventward")
     known = F.col(USER).isNotNull() & F.col("timestamp").isNotNull()
     rows = events.select(
         "ord", USER, event_micros().alias("us"), "event_id",

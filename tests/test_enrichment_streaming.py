@@ -154,3 +154,27 @@ def test_stream_scoring_writes_each_batch(spark, batches, tmp_path):
     feeds.score_stream(stream, lambda b: b.select("ord", F.lit("x").alias("s")), path, str(tmp_path / "state")).awaitTermination()
     got = spark.read.parquet(path)
     assert got.count() == 200 and got.select("batch").distinct().count() == 4
+
+
+def test_stream_step_takes_null_ids():
+    import pandas as pd
+
+    from eventward.operators.rolling import ROLLING_COLUMNS as COLUMNS
+    from eventward.streaming.feeds import _rolling_step
+
+    class State:
+        exists, get = False, None
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+    step = _rolling_step(300_000_000, ["ord", "late", *COLUMNS])
+    rows = pd.DataFrame(
+        {"ord": [1, 2, 3], "us": [0, 1_000_000, 2_000_000], "event_id": [4624, None, 4624], "host": ["a", "a", "b"]}
+    )
+    state = State()
+    (found,) = step("u", iter([rows]), state)
+    assert found[COLUMNS[0]].tolist() == [1, 2, 3] and found[COLUMNS[1]].tolist() == [1, 1, 1]
+    assert state.get[2] == [4624, None, 4624]
+    (later,) = step("u", iter([rows.assign(us=rows["us"] + 5_000_000)]), state)
+    assert later[COLUMNS[0]].tolist() == [4, 5, 6]
