@@ -294,10 +294,8 @@ ORACLE: dict[str, str] = {
         AS merged_label FROM sec"""),
     "tactic_distribution": _of_sec("""SELECT mitre_tactic, count(*) AS n FROM sec
         WHERE mitre_tactic IS NOT NULL GROUP BY mitre_tactic"""),
-    "source_files_per_label": _of_sec("""SELECT label, source_file, count(*) AS n FROM sec
-        WHERE label = 'pass_the_hash' GROUP BY ALL"""),
-    "days_per_label": _of_sec("""SELECT label, strftime("timestamp", '%Y-%m-%d') AS day, count(*) AS n FROM sec
-        WHERE label = 'pass_the_hash' GROUP BY ALL"""),
+    "source_files_per_label": _of_sec("""SELECT label, source_file, count(*) AS n FROM sec GROUP BY ALL"""),
+    "days_per_label": _of_sec("""SELECT label, strftime("timestamp", '%Y-%m-%d') AS day, count(*) AS n FROM sec GROUP BY ALL"""),
     "first_and_last_events": _of_sec("""SELECT * FROM (
         SELECT label, 'first' AS which, row_number() OVER (PARTITION BY label ORDER BY us, ord) AS position,
           us, ord, source_file, computer FROM sec
@@ -338,10 +336,10 @@ ORACLE: dict[str, str] = {
     "time_features": _of_sec(f"SELECT ord, {TIME_COLUMNS} FROM sec"),
     "presence_flags": _of_sec(f"SELECT ord, {FLAG_COLUMNS} FROM sec"),
     "event_id_frequency": _with(ROLLING, "SELECT event_id, round(event_id_freq, 9) AS event_id_freq FROM freq"),
-    "apply_event_id_frequency": _of_sec("""SELECT ord, sec.event_id, round(coalesce(f.share, 0), 9) AS event_id_freq
-        FROM sec LEFT JOIN (SELECT event_id, count(*) / sum(count(*)) OVER () AS share FROM sec
-          WHERE label IN ('mimikatz', 'pass_the_hash') GROUP BY event_id) f ON sec.event_id = f.event_id"""),
-    "top_event_ids": _with(ROLLING, "SELECT event_id, n FROM counts ORDER BY n DESC, event_id LIMIT 3"),
+    "apply_event_id_frequency": _with(SPLIT, """SELECT ord, sp.event_id, round(coalesce(f.share, 0), 9) AS event_id_freq
+        FROM sp LEFT JOIN (SELECT event_id, count(*) / sum(count(*)) OVER () AS share FROM sp
+          WHERE split = 'train' GROUP BY event_id) f ON sp.event_id = f.event_id"""),
+    "top_event_ids": _with(ROLLING, "SELECT event_id, n FROM counts ORDER BY n DESC, event_id LIMIT 20"),
     "event_id_onehot": _of_sec("""SELECT ord, CASE WHEN event_id = 4624 THEN 1 ELSE 0 END AS eid_4624,
         CASE WHEN event_id = 4634 THEN 1 ELSE 0 END AS eid_4634,
         CASE WHEN event_id IN (4624, 4634) THEN 0 ELSE 1 END AS eid_other FROM sec"""),

@@ -248,7 +248,6 @@ DESCRIBED_LABELS = [
     "kerberos_createnetonly", "dcsync_convenant",
 ]
 
-INVESTIGATED_LABELS = ["pass_the_hash", "scheduled_task_lateral_movement"]
 
 DISPLAY_FIELDS = [
     "event_id", "subject_user_name", "subject_domain_name", "subject_user_sid",

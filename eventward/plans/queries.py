@@ -367,12 +367,12 @@ def tactic_distribution(spark, folder):
 
 @query
 def source_files_per_label(spark, folder):
-    return cleaning.source_files_per_label(read_security_events(spark, folder), ["pass_the_hash"])
+    return cleaning.source_files_per_label(read_security_events(spark, folder))
 
 
 @query
 def days_per_label(spark, folder):
-    return cleaning.days_per_label(read_security_events(spark, folder), ["pass_the_hash"])
+    return cleaning.days_per_label(read_security_events(spark, folder))
 
 
 @query
@@ -484,9 +484,9 @@ def event_id_frequency(spark, folder):
 
 @query
 def apply_event_id_frequency(spark, folder):
-    """Encoder fitted on one label's rows, so that some ids are unseen."""
-    events = read_security_events(spark, folder)
-    fitted = events.where("label = 'mimikatz' OR label = 'pass_the_hash'")
+    """Encoder fitted on train, applied to all events."""
+    events = stored(split_events(spark, folder), "split-events")
+    fitted = events.where("split = 'train'")
     counts = stored(features.event_id_counts(fitted), "event-id-counts")
     encoded = features.apply_event_id_frequency(events, features.event_id_frequency(counts))
     return encoded.select("ord", "event_id", *rounded("event_id_freq"))
@@ -495,7 +495,7 @@ def apply_event_id_frequency(spark, folder):
 @query
 def top_event_ids(spark, folder):
     counts = features.event_id_counts(split_events(spark, folder).where("split = 'train'"))
-    return features.top_event_ids(counts, 3)
+    return features.top_event_ids(counts)
 
 
 @query

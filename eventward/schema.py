@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The column names of the event table.
 STRING_FIELDS = [
     "subject_user_name", "subject_user_sid", "subject_domain_name", "subject_logon_id",
     "target_user_name", "target_user_sid", "target_domain_name",
