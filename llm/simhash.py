@@ -26,7 +26,7 @@ PIVOTS = 16
 #: with the same links. The number moves work only.
 PAIRED = 64
 
-_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+LOWER_BYTES = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
 def _signed(value: int) -> int:
@@ -35,7 +35,7 @@ def _signed(value: int) -> int:
 
 def fingerprint(text: bytes | None) -> int:
     """The 64-bit SimHash of a text's word shingles, as a signed number; 0 without words."""
-    words = text.translate(_LOWER).split() if text else []
+    words = text.translate(LOWER_BYTES).split() if text else []
     if not words:
         return 0
     if len(words) < SHINGLE:
@@ -162,6 +162,11 @@ def keep_one_of_each_group(df: DataFrame, doc_id: str = "doc_id", text: str = "t
     chosen by a hash of the text, and of rows that repeat one stays. All columns are returned.
     """
     rows, values = _linked(df, doc_id, text)
+    return keep_best(df, rows, values, doc_id, text)
+
+
+def keep_best(df: DataFrame, rows: DataFrame, values: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Of all `rows(id, row, f)` whose f have one root in `values(f, root)` the first row of `df`."""
     rank = F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"), F.col("row").alias("row"))
     best = rows.groupBy("f").agg(F.min(rank).alias("best"))
     best = best.join(values.select("f", "root"), "f").groupBy("root").agg(F.min("best").alias("best"))
