@@ -7,6 +7,8 @@ import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,8 +63,31 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_open_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _open_scopes:
+        _open_scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables made inside on leaving; results that read them must be written by then."""
+    _open_scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _open_scopes.pop():
+            delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark reaches; one that is not there is no error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
