@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventward.session import delete_folder, scratch_scope
 from llm.common import scratch_path
 from llm.decontaminate import find_contamination
 from llm.mixing import mix_sources
 from llm.personal_data import find_personal_data, redact
 from llm.quality import apply_rules
-from llm.similar import keep_one_of_similar
+from llm.simhash import keep_one_of_each_group
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -26,8 +27,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five-word shingles, similarity 0.8) the smallest id stays."""
-    return keep_one_of_similar(docs.select(*DOCUMENT)).select(*DOCUMENT)
+    """Of each group of near-duplicates (SimHash of three words, two bits) the smallest id stays."""
+    return keep_one_of_each_group(docs.select(*DOCUMENT)).select(*DOCUMENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,10 +63,17 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on `documents`; each stage's result is written and read again by the next."""
+    """All stages on `documents`; each stage's result is written and read again by the next.
+
+    A stage's own scratch tables go once its result is written, and so does the result before it.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            delete_folder(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
