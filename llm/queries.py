@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.decontaminate import find_contamination
+from llm.hard_negatives import mine_hard_negatives
 from llm.html_text import extract_main_text
 from llm.language_model import score_texts
+from llm.merkle import lower_case_leaf, prove, verified
 from llm.mixing import mix_sources
 from llm.personal_data import KINDS, find_personal_data
 from llm.oracle import SQL
@@ -19,6 +21,7 @@ from llm.simhash import near_duplicate_groups
 from llm.substrings import remove_repeated
 from llm.tokens import count_tokens
 from llm.toxicity import score_toxicity
+from llm.url_filter import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,6 +107,31 @@ def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return extracted.select("page_id", "url", "text", "n_chars")
 
 
+def op11_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    judged = judge_urls(table(spark, folder, "pages").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
+MANIFEST_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select(*MANIFEST_FIELDS)
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    tampered = F.when(chosen, lower_case_leaf(MANIFEST_FIELDS, "text"))
+    proofs = prove(documents, MANIFEST_FIELDS, "doc_id", "lang", {"tampered": tampered})
+    checked = verified(proofs, F.coalesce("tampered", "leaf"))
+    return checked.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("siblings", 256).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, folder, "embeddings").withColumn("label", shifted)
+    return mine_hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -115,6 +143,9 @@ QUERIES: dict[str, Query] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_token_counts": op9_token_counts,
     "op10_decontamination": op10_decontamination,
+    "op11_url_filters": op11_url_filters,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE: dict[str, str] = dict(SQL)
