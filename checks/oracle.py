@@ -228,6 +228,17 @@ _JSON_TEXT_LENGTH = """length('{"EventID":"' || event_id || '","EventTime":"' ||
     || coalesce(',"SubjectDomainName":"' || subject_domain_name || '"', '')
     || coalesce(',"RecordNumber":' || record_id, '') || coalesce(',"LogonType":' || logon_type, '') || '}') // 2"""
 
+RELATED = _of_sec("""SELECT * FROM (SELECT d.ord, row_number() OVER (PARTITION BY d.ord ORDER BY e.us, e.ord) AS rank,
+          e.us, e.ord AS related_ord, e.event_id, e.label
+        FROM sec d JOIN sec e ON d.computer = e.computer AND e.us BETWEEN d.us - 300000000 AND d.us + 300000000
+          AND NOT (e.us = d.us AND e.event_id = d.event_id)
+        WHERE d.label <> 'benign') WHERE rank <= 6""")
+
+_MANIFEST = """SELECT event_id, us - 7200000000 AS us, computer, coalesce(subject_user_name, 'second') AS subject_user_name,
+  record_id, logon_type, label || '_log' AS source_file, 'evtx_xml' AS source_format, label, 'TA0004' AS mitre_tactic,
+  CASE label WHEN 'zerologon' THEN 'CVE-2020-1472' ELSE 'T1187' END AS mitre_technique{more}
+FROM sec WHERE label IN ('zerologon', 'privexchange')"""
+
 ORACLE: dict[str, str] = {
     "ingest_xml": _of_sec("SELECT " + _BASE.format(
         us="us - 7200000000", user="coalesce(subject_user_name, 'second')", format="'evtx_xml'")
@@ -419,11 +430,7 @@ ORACLE: dict[str, str] = {
         tactic_name, description FROM enr"""),
     "recommended_actions": _with(ENRICHED, "SELECT ord, predicted_label, action_text AS actions FROM enr"),
     "severities": _with(PREDICTED, "SELECT ord, CASE WHEN is_attack THEN 'critical' ELSE 'info' END AS severity FROM pred"),
-    "related_events": _of_sec("""SELECT * FROM (SELECT d.ord, row_number() OVER (PARTITION BY d.ord ORDER BY e.us, e.ord) AS rank,
-          e.us, e.ord AS related_ord, e.event_id, e.label
-        FROM sec d JOIN sec e ON d.computer = e.computer AND e.us BETWEEN d.us - 300000000 AND d.us + 300000000
-          AND NOT (e.us = d.us AND e.event_id = d.event_id)
-        WHERE d.label <> 'benign') WHERE rank <= 6"""),
+    "related_events": RELATED,
     "priority_sample": _of_sec("""SELECT ord, us, label, event_id FROM (SELECT *,
           list_position(['pass_the_hash', 'mimikatz', 'dcsync_empire', 'dcsync_convenant', 'kerberos_createnetonly',
             'ntds_dump_shadowcopy', 'benign'], label) AS place,
@@ -442,10 +449,37 @@ ORACLE: dict[str, str] = {
         ELSE 'DC=unknown' END AS dn FROM sec"""),
     "scorable_rows": _of_sec("""SELECT CASE WHEN ord % 50 = 0 THEN 'malformed_json' ELSE 'accepted' END AS outcome,
         count(*) AS n FROM sec GROUP BY ALL"""),
-    "json_odd_lines": _of_sec("""SELECT ord % 5 AS kind, CASE WHEN ord % 5 IN (1, 2) THEN 'malformed_json'
-        WHEN ord % 5 = 4 THEN 'bad_event_id' ELSE 'accepted' END AS outcome, count(*) AS n FROM sec GROUP BY ALL"""),
+    "json_odd_lines": _of_sec("""SELECT ord % 8 AS kind, CASE WHEN ord % 8 IN (1, 2, 5, 6, 7) THEN 'malformed_json'
+        WHEN ord % 8 = 4 THEN 'bad_event_id' ELSE 'accepted' END AS outcome, count(*) AS n FROM sec GROUP BY ALL"""),
     "file_sources": _of_sec(f"""SELECT ord, source_file, record_id, (SELECT count(*) FROM sec) AS n_rows,
         (SELECT count(*) FROM sec) AS n_numbers FROM ({_FIRST_OF_RECORD}) WHERE copy = 1"""),
+    "manifest_sources": _of_sec(_MANIFEST.format(more=", 'never_exported' AS missing")),
+    "stream_manifest_sources": _of_sec(_MANIFEST.format(more="")),
+    "all_sources": _of_sec("""SELECT label, source_format, count(*) AS n, count(*) AS n_numbers, sum(us - 1704067200000000)::BIGINT AS us,
+          count(DISTINCT source_file) AS n_files, count(mitre_tactic) AS n_tactics
+        FROM (SELECT *, row_number() OVER (PARTITION BY source_file, record_id ORDER BY ord) AS copy FROM (
+          SELECT ord, label, record_id,
+            CASE WHEN label IN ('zerologon', 'privexchange') THEN us - 7200000000 ELSE us END AS us,
+            CASE WHEN label IN ('zerologon', 'privexchange') THEN label || '_log' WHEN label = 'benign' THEN source_file
+              ELSE label || '.json' END AS source_file,
+            CASE WHEN label IN ('zerologon', 'privexchange') THEN 'evtx_xml' WHEN label = 'benign' THEN source_format
+              ELSE 'mordor_jsonl' END AS source_format,
+            CASE WHEN label IN ('zerologon', 'privexchange') THEN 'TA0004' END AS mitre_tactic
+          FROM sec))
+        WHERE record_id IS NULL OR copy = 1 GROUP BY label, source_format"""),
+    "audit_fields": _of_sec(f"""SELECT ord, ord % 50 NOT IN (0, 1) AS accepted,
+        CASE ord % 50 WHEN 0 THEN 'malformed_json' WHEN 1 THEN 'bad_event_id' ELSE '' END AS reject_reason,
+        CASE ord % 50 WHEN 0 THEN NULL WHEN 1 THEN 'none' ELSE event_id::VARCHAR END AS event_text,
+        CASE WHEN ord % 50 > 1 THEN event_id END AS event_number, CASE WHEN ord % 50 > 0 THEN computer END AS host,
+        CASE WHEN ord % 50 > 0 THEN record_id::BIGINT END AS record, NULL::VARCHAR AS nothing,
+        CASE WHEN ord % 50 = 0 THEN {_JSON_TEXT_LENGTH} END AS text_length FROM sec"""),
+    "daily_profile_union": _of_sec("""SELECT label, count(*) AS n_events, true AS hosts_close, true AS users_close,
+        true AS event_ids_close, true AS median_close FROM sec GROUP BY label"""),
+    "split_sink_round_trip": _with(SPLIT, """SELECT split, label, count(*) AS n, count(*) AS n_features,
+          sum(hour("timestamp"))::BIGINT AS hours,
+          label IN (SELECT label FROM sp GROUP BY label HAVING count(DISTINCT split) = 2) AS evaluable,
+          (SELECT string_agg(DISTINCT event_id::VARCHAR, ',' ORDER BY event_id::VARCHAR) FROM sp WHERE split = 'train') AS top_ids
+        FROM sp GROUP BY split, label"""),
     "event_table_round_trip": _of_sec("SELECT ord, event_id, computer, label, record_id, label AS csv_label FROM sec"),
     "stage1_report": _with(STAGE1, "").rstrip() + "," + _REPORT.format(y="y", p="p", table="tactics"),
     "stage1_confusion": _with(STAGE1, "SELECT y, p, count(*) AS n FROM tactics GROUP BY ALL"),
@@ -478,6 +512,10 @@ ORACLE: dict[str, str] = {
         FROM sec GROUP BY ALL"""),
     "stream_deduplicate": _of_sec("""SELECT source_file, record_id,
         CASE WHEN record_id IS NULL THEN count(*) ELSE 1 END AS n FROM sec GROUP BY source_file, record_id"""),
+    "stream_first_wins": _of_sec("""SELECT ord, source_file, record_id, event_id, logon_type,
+        CASE WHEN record_id IS NULL OR row_number() OVER (PARTITION BY source_file, record_id ORDER BY ord) = 1
+          THEN 'kept' ELSE 'duplicate' END AS verdict FROM sec"""),
+    "stream_related_events": RELATED,
     "stream_rolling_features": _with(
         ROLLING.replace("THEN 'test' ELSE 'train' END AS split", "THEN 'all' ELSE 'all' END AS split"),
         """SELECT ord, false AS late, events_last_5min_user, distinct_eventid_last_5min_user,

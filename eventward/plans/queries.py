@@ -15,19 +15,27 @@ from eventward import catalog
 from eventward.functions import messages
 from eventward.functions.times import event_micros, iso_text, validated_time
 from eventward.functions.values import directory_path, display_fields
-from eventward.operators import cleaning, correlation, enrichment, evaluation, features, splitting
+from eventward.operators import cleaning, correlation, enrichment, evaluation, features, profiles, splitting
 from eventward.operators import detection as forests
 from eventward.operators.rolling import ROLLING_COLUMNS, add_rolling_features
 from eventward.plans import detection as plans
 from eventward.plans.dataset import build_dataset, read_sources
+from eventward.plans.registry import VERSION, ModelRegistry, score_with_latest
 from eventward.schema import EVENT_COLUMNS
 from eventward.session import scratch_path, stored
+from eventward.sources import audit
 from eventward.sources.adapter import read_security_events, read_table, security_view
 from eventward.sources.json_events import normalize_canonical_texts, normalize_emulation_texts
 from eventward.sources.normalize import REASON, accepted, quarantined
-from eventward.sources.tables import preview, write_events
-from eventward.sources.xml_events import normalize_xml_texts
-from eventward.streaming import feeds
+from eventward.sources.tables import preview, write_events, write_features, write_label_list, write_split
+from eventward.sources.xml_events import (
+    missing_manifest_files,
+    normalize_manifest_batch,
+    normalize_xml_texts,
+    read_manifest_events,
+    stream_event_xml,
+)
+from eventward.streaming import feeds, keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -756,18 +764,21 @@ def scorable_rows(spark, folder):
 @query
 def json_odd_lines(spark, folder):
     """Lines with something behind the object, white space around it, or an id that is no number."""
-    texts = json_texts(read_security_events(spark, folder)).withColumn("kind", F.col("ord") % 5)
+    texts = json_texts(read_security_events(spark, folder)).withColumn("kind", F.col("ord") % 8)
     odd = texts.withColumn(
         "value",
         F.when(F.col("kind") == 1, F.concat_ws(" ", "value", "value"))
         .when(F.col("kind") == 2, F.concat("value", F.lit("}")))
         .when(F.col("kind") == 3, F.concat(F.lit("\u00a0\t"), "value", F.lit("\t\u000b")))
         .when(F.col("kind") == 4, F.regexp_replace("value", '"EventID":"[0-9]+"', '"EventID":NaN'))
+        .when(F.col("kind") == 5, F.concat("value", F.lit("] xyz")))
+        .when(F.col("kind") == 6, F.concat("value", F.lit("][1]")))
+        .when(F.col("kind") == 7, F.concat("value", F.lit(',{"~":1}]')))
         .otherwise(F.col("value")),
     )
     rows = normalize_emulation_texts(odd)
     return rows.groupBy(
-        (F.col("ord") % 5).alias("kind"), F.coalesce(REASON, F.lit("accepted")).alias("outcome")
+        (F.col("ord") % 8).alias("kind"), F.coalesce(REASON, F.lit("accepted")).alias("outcome")
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -789,6 +800,148 @@ def file_sources(spark, folder):
     return kept.withColumns({name: F.lit(numbers[name]) for name in ("n_rows", "n_numbers")})
 
 
+def _one_file(lines: DataFrame, path: str) -> None:
+    """A column of lines, in order of `ord`, as one text file of a given name, as exports come."""
+    spark = lines.sparkSession
+    folder = scratch_path(spark, "export")
+    lines.repartitionByRange(1, "ord").sortWithinPartitions("ord").select("value").write.text(folder)
+    paths = spark._jvm.org.apache.hadoop.fs
+    files = paths.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(paths.Path(path).getParent())
+    parts = [s.getPath() for s in files.listStatus(paths.Path(folder)) if s.getPath().getName().startswith("part-")]
+    files.rename(parts[0], paths.Path(path))
+
+
+#: Category, file, label, tactic and technique of the logs that the queries export.
+EXPORTED = (
+    ("privilege", "zerologon_log", "zerologon", "TA0004", "CVE-2020-1472"),
+    ("privilege", "privexchange_log", "privexchange", "TA0004", "T1187"),
+    ("privilege", "never_exported", "nothing", "TA0004", "T1"),
+)
+XML_LABELS = [entry[2] for entry in EXPORTED]
+
+
+def _export_logs(events: DataFrame, root: str, entries=EXPORTED) -> None:
+    """XML logs, whose events span lines, and one that no manifest names."""
+    for category, name, label, _, _ in entries:
+        if label != "nothing":
+            texts = xml_texts(events.where(F.col("label") == label))
+            _one_file(texts.select("ord", F.regexp_replace("xml", "><(?!/)", ">\n<").alias("value")), f"{root}/{category}/{name}.xml")
+    texts = xml_texts(events.where(F.col("label") == "mimikatz"))
+    _one_file(texts.select("ord", F.col("xml").alias("value")), f"{root}/privilege/unlisted.xml")
+
+
+_FROM_FILES = ["event_id", "us", "computer", "subject_user_name", "record_id", "logon_type", "source_file",
+               "source_format", "label", "mitre_tactic", "mitre_technique"]
+
+
+@query
+def manifest_sources(spark, folder):
+    """XML logs on disk, read by their manifest; its entry without a file is counted apart."""
+    root = scratch_path(spark, "xml-logs")
+    _export_logs(read_security_events(spark, folder), root)
+    manifest = catalog.manifest_table(spark, EXPORTED)
+    rows = accepted(read_manifest_events(spark, root, manifest)).withColumn("us", event_micros()).select(*_FROM_FILES)
+    missing = ",".join(row.file for row in missing_manifest_files(spark, root, manifest).orderBy("file").collect())
+    return rows.withColumn("missing", F.lit(missing))
+
+
+@query
+def stream_manifest_sources(spark, folder):
+    """The same logs as a feed: one is there at first, the other comes while the feed is down."""
+    root, out, state = (scratch_path(spark, f"xml-feed-{part}") for part in ("logs", "table", "state"))
+    events = read_security_events(spark, folder)
+    manifest = catalog.manifest_table(spark, EXPORTED)
+    for entry in EXPORTED[:2]:
+        _export_logs(events, root, [entry])
+        feeds.ingest_stream(stream_event_xml(spark, root), normalize_manifest_batch(manifest), out, state).awaitTermination()
+    table = spark.read.parquet(out).where("accepted = 'true'")
+    return table.withColumn("us", event_micros()).select(*_FROM_FILES)
+
+
+@query
+def all_sources(spark, folder):
+    """The data set of XML logs, captures and canonical files on disk, without duplicates."""
+    root = scratch_path(spark, "sources")
+    events = read_security_events(spark, folder)
+    _export_logs(events, f"{root}/xml")
+    captured = [label for label in catalog.EMULATION_LABELS if label in ("mimikatz", "pass_the_hash", "dcsync_empire")]
+    for label in captured:
+        _one_file(json_texts(events.where(F.col("label") == label)), f"{root}/captures/{label}.json")
+    rest = ~F.col("label").isin([*XML_LABELS, *captured])
+    canonical_texts(events.where(rest)).select("value").write.text(f"{root}/canonical")
+    rows = read_sources(spark, f"{root}/xml", catalog.manifest_table(spark, EXPORTED), f"{root}/captures", f"{root}/canonical")
+    return build_dataset(rows).groupBy("label", "source_format").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("ord").alias("n_numbers"), F.sum(event_micros() - 1_704_067_200_000_000).alias("us"),
+        F.countDistinct("source_file").alias("n_files"), F.count("mitre_tactic").alias("n_tactics"),
+    )
+
+
+@query
+def audit_fields(spark, folder):
+    """Fields of raw records, accepted and rejected ones, from the audit table."""
+    texts = json_texts(read_security_events(spark, folder))
+    no_number = F.regexp_replace("value", '"EventID":"[0-9]+"', '"EventID":"none"')
+    texts = cut_short(texts.withColumn("value", F.when(F.expr("ord % 50 = 1"), no_number).otherwise(F.col("value"))), "value")
+    path = scratch_path(spark, "audit")
+    audit.write_audit(normalize_emulation_texts(texts), path)
+    return audit.read_audit(spark, path).select(
+        "ord", "accepted", F.coalesce(REASON, F.lit("")).alias(REASON), audit.raw_field("EventID").alias("event_text"),
+        audit.raw_field("EventID", "int").alias("event_number"), audit.raw_field("Hostname").alias("host"),
+        audit.raw_field("RecordNumber", "bigint").alias("record"), audit.raw_field("no such").alias("nothing"),
+        F.length(audit.raw_text()).alias("text_length"),
+    )
+
+
+@query
+def daily_profile_union(spark, folder):
+    """Profiles of days, written day by day and united per label, against one pass over all events."""
+    events = read_security_events(spark, folder)
+    path = scratch_path(spark, "daily-profiles")
+    half = F.to_date("timestamp") < F.lit("2024-01-04").cast("date")
+    for days in (half, ~half):
+        profiles.write_days(events.where(days), path)
+    united = profiles.figures(profiles.unite(profiles.read_days(spark, path), "label"), (0.5,))
+    second = profiles.second_of_day()
+    exact = events.groupBy("label").agg(
+        *[F.countDistinct(c).alias(f"{name}_exact") for name, c in profiles.DISTINCT.items()]
+    )
+    ranks = events.withColumn("second", second).join(united.select("label", "second_50"), "label").groupBy("label").agg(
+        F.avg((F.col("second") < F.col("second_50")).cast("double")).alias("below"),
+        F.avg((F.col("second") <= F.col("second_50")).cast("double")).alias("upto"),
+    )
+    close = [
+        (F.abs(F.col(name) - F.col(f"{name}_exact")) <= profiles.DISTINCT_ERROR * F.col(f"{name}_exact")).alias(f"{name}_close")
+        for name in profiles.DISTINCT
+    ]
+    middle = (F.col("below") <= 0.5 + profiles.RANK_ERROR) & (F.col("upto") >= 0.5 - profiles.RANK_ERROR)
+    return united.join(exact, "label").join(ranks, "label").select("label", "n_events", *close, middle.alias("median_close"))
+
+
+@query
+def split_sink_round_trip(spark, folder):
+    """Split and feature tables and the list of evaluable labels through their sinks and back."""
+    path = scratch_path(spark, "split-sinks")
+    write_split(split_events(spark, folder), f"{path}/split")
+    split = spark.read.parquet(f"{path}/split")
+    train, test = (split.where(F.col("split") == s) for s in ("train", "test"))
+    write_label_list(evaluation.evaluable_labels(train, test), f"{path}/labels")
+    table, encoders = plans.features_of_split(split)
+    write_features(table, f"{path}/features")
+    encoders.save(f"{path}/encoders")
+    loaded = features.FeatureEncoders.load(spark, f"{path}/encoders")
+    labels = spark.read.text(f"{path}/labels").select(F.col("value").alias("label"), F.lit(True).alias("evaluable"))
+    features_back = spark.read.parquet(f"{path}/features").groupBy("split", "label").agg(
+        F.count(F.lit(1)).alias("n_features"), F.sum("hour").cast("bigint").alias("hours")
+    )
+    counts = split.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"))
+    return (
+        counts.join(features_back, ["split", "label"]).join(labels, "label", "left")
+        .withColumn("evaluable", F.coalesce("evaluable", F.lit(False)))
+        .withColumn("top_ids", F.lit(",".join(map(str, sorted(loaded.top_event_ids)))))
+    )
+
+
 @query
 def event_table_round_trip(spark, folder):
     """The event table through its Parquet and CSV sinks and back."""
@@ -866,35 +1019,37 @@ def reports(spark, folder):
 
 # -- models -------------------------------------------------------------------------------------------
 
-_SAVED: dict[tuple[str, str], str] = {}
+_SAVED: dict[tuple[str, str], tuple[str, DataFrame]] = {}
 
 
-def _detector(spark, folder) -> plans.Detector:
-    """The detector of a folder: trained and saved once per session, loaded from then on."""
+def _trained(spark, folder) -> tuple[plans.Detector, DataFrame]:
+    """The detector of a folder, trained and saved once per session and loaded from then on, and its feature table."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _SAVED:
-        detector, _ = plans.train_detector(split_events(spark, folder))
+        detector, table = plans.train_detector(split_events(spark, folder))
         path = scratch_path(spark, "detector")
         detector.save(spark, path)
-        _SAVED[key] = path
-    return plans.Detector.load(spark, _SAVED[key])
+        _SAVED[key] = path, table
+    path, table = _SAVED[key]
+    return plans.Detector.load(spark, path), table
+
+
+def _detector(spark, folder) -> plans.Detector:
+    return _trained(spark, folder)[0]
 
 
 @query
 def train_and_score(spark, folder):
     """Both stages fitted on train, test rows scored with their rolling features, and the accuracy."""
-    detector, table = plans.train_detector(split_events(spark, folder))
+    detector, table = _trained(spark, folder)
     scored = forests.predict_hierarchical(detector.model, table.where("split = 'test'"))
     return evaluation.classification_report(scored, "label", "predicted_label")
 
 
 @query
 def important_features(spark, folder):
-    table, _ = plans.features_of_split(split_events(spark, folder))
-    names = features.feature_columns(table.columns)
-    rows = forests.assemble(table.where("split = 'train'"), names)
-    forest = forests.train_stage1(rows, names)
-    return forests.feature_importances(forest, names, spark)
+    model = _detector(spark, folder).model
+    return forests.feature_importances(model.stage1, model.features, spark)
 
 
 @query
@@ -925,24 +1080,66 @@ def stream_deduplicate(spark, folder):
     return table.groupBy("source_file", "record_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _over_feed(table: DataFrame, along: str, operator, name: str, partition_by: tuple[str, ...] = (), parts: int = 3) -> DataFrame:
+    """Run an operator over the table as a feed, its rows in order of a number: each part arrives,
+    is taken up as a micro-batch from the checkpoint of the one before, and ends in one table."""
+    spark = table.sparkSession
+    table = stored(table, "feed-rows")
+    first, last = table.agg(F.min(along), F.max(along)).first()
+    path, out, state = (scratch_path(spark, f"{name}-{part}") for part in ("feed", "table", "state"))
+    width = (last - first) // parts + 1 if last is not None else 1
+    for k in range(parts):
+        low = (first or 0) + k * width
+        table.where(F.col(along).between(low, low + width - 1)).write.mode("append").parquet(path)
+        result = operator(spark.readStream.schema(table.schema).parquet(path))
+        feeds.write_stream(result, out, state, partition_by).awaitTermination()
+    return spark.read.schema(result.schema).parquet(out)
+
+
 @query
 def stream_rolling_features(spark, folder):
-    table = feeds.run_to_table(feeds.rolling_features_stream(stream_events(spark, folder)), "stream-rolling")
+    """On a feed in order of time, several micro-batches long."""
+    events = read_security_events(spark, folder).select(
+        "ord", "timestamp", event_micros().alias("us"), "subject_user_name", "event_id", "computer"
+    )
+    table = _over_feed(events, "us", keyed.rolling_features_stream, "stream-rolling")
     return table.select("ord", "late", *ROLLING_COLUMNS[:3], *rounded(ROLLING_COLUMNS[3]))
 
 
 @query
-def stream_score(spark, folder):
-    detector = _detector(spark, folder)
-    path = scratch_path(spark, "stream-score")
+def stream_first_wins(spark, folder):
+    """Survivors and duplicates of a feed in order of arrival, as one sink in two parts."""
+    events = read_security_events(spark, folder).select("ord", "timestamp", "source_file", "record_id", "event_id", "logon_type")
+    table = _over_feed(events, "ord", lambda feed: keyed.first_wins_stream(feed, "30 days"), "stream-first", (keyed.VERDICT,))
+    return table.select("ord", "source_file", "record_id", "event_id", "logon_type", keyed.VERDICT)
+
+
+@query
+def stream_related_events(spark, folder):
+    """Related events of all attack events of a feed in order of time, with a last sign of life that closes it."""
+    events = read_security_events(spark, folder).select(
+        "ord", "timestamp", event_micros().alias("us"), "computer", "event_id", "label"
+    )
+    last = events.agg(F.max("timestamp").alias("last")).select(
+        F.lit(-1).cast("long").alias("ord"), (F.col("last") + F.expr("INTERVAL 1 DAY")).alias("timestamp"),
+        F.expr("unix_micros(CAST(last AS TIMESTAMP)) + 86400000000").alias("us"), F.lit("").alias("computer"),
+        F.lit(0).alias("event_id"), F.lit(catalog.BENIGN_LABEL).alias("label"),
+    )
+
+    def related(feed: DataFrame) -> DataFrame:
+        return keyed.related_events_stream(feed, F.col("label") != catalog.BENIGN_LABEL)
+
+    return _over_feed(events.unionByName(last), "us", related, "stream-related")
 
-    def score(batch: DataFrame) -> DataFrame:
-        scored = plans.score_isolated(batch, detector).transform(enrichment.enrich_predictions)
-        return scored.select(
-            "ord", "predicted_label", "predicted_tactic", "tactic_name", "is_attack",
-            enrichment.severity().alias("severity"),
-        )
 
-    state = scratch_path(spark, "stream-score-state")
-    feeds.score_stream(stream_events(spark, folder), score, path, state).awaitTermination()
-    return spark.read.parquet(path).drop("batch")
+@query
+def stream_score(spark, folder):
+    """A feed scored with the newest version of the detector; each row names the version."""
+    registry = ModelRegistry(spark, scratch_path(spark, "registry"))
+    registry.publish(_detector(spark, folder))
+    path, state = scratch_path(spark, "stream-score"), scratch_path(spark, "stream-score-state")
+    score_with_latest(stream_events(spark, folder), registry, path, state).awaitTermination()
+    scored = spark.read.parquet(path).transform(enrichment.enrich_predictions)
+    return scored.select(
+        "ord", "predicted_label", "predicted_tactic", "tactic_name", "is_attack", enrichment.severity().alias("severity"), VERSION
+    )

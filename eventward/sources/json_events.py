@@ -25,29 +25,38 @@ from eventward.sources.xml_events import source_name
 # Standard JSON only.
 _OPTIONS = {"allowSingleQuotes": "false"}
 # Fixed value: white space around a line, as Unicode has it.
-_SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_SPACE = "".join(map(chr, [*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]))
+_MARK = "~"
 
 
 def _parsed(df: DataFrame, text: str, texts: list[str], variants: list[str], strict: bool) -> DataFrame:
     """Parse each line once into `_fields`, null where it is not one object. Blank lines are no records.
 
-    A line is read as the content of a list, which must have one element: a parser of single
-    objects would stop at the end of the first and take no notice of what follows it.
+    A line is read as the first of two elements of a list, of which the second carries the line's
+    hash. A parser stops at the end of the first value that is whole and takes no notice of what
+    follows it; a line that closes the list early, or adds elements, lacks the mark behind one object.
 
     Variant fields keep the JSON type and tell a null from an absent key. Text fields read
     numbers as text; with `strict` they are variants too, so that their type can be checked.
     """
     types = {name: "variant" if strict else "string" for name in texts}
-    types |= {name: "variant" for name in variants}
-    schema = ", ".join(f"`{name}` {kind}" for name, kind in types.items())
-    line = F.regexp_replace(F.col(text), f"^{_SPACE}+|{_SPACE}+$", "")
-    listed = F.from_json(F.concat(F.lit("["), line, F.lit("]")), f"array<struct<{schema.replace('` ', '`:')}>>", _OPTIONS)
-    # An array function on a single list keeps the parsing in one place.
+    types |= {name: "variant" for name in variants} | {_MARK: "bigint"}
+    schema = ", ".join(f"`{name}`:{kind}" for name, kind in types.items())
+    line = F.btrim(F.col(text), F.lit(_SPACE))
+    mark = F.xxhash64(line)
+    whole = F.concat(F.lit("["), line, F.lit(f',{{"{_MARK}":'), mark.cast("string"), F.lit("}]"))
+    listed = F.from_json(whole, f"array<struct<{schema}>>", _OPTIONS)
+    # An array function on a list of two keeps the parsing in one place.
+    start = F.struct(
+        F.lit(0).alias("n"), F.lit(None).cast(f"struct<{schema}>").alias("it"), F.lit(None).cast("bigint").alias("mark")
+    )
     single = F.aggregate(
         listed,
-        F.struct(F.lit(0).alias("n"), F.lit(None).cast(f"struct<{schema.replace('` ', '`:')}>").alias("it")),
-        lambda acc, x: F.struct((acc["n"] + 1).alias("n"), x.alias("it")),
-        lambda acc: F.when(acc["n"] == 1, acc["it"]),
+        start,
+        lambda acc, x: F.struct(
+            (acc["n"] + 1).alias("n"), F.when(acc["n"] == 0, x).otherwise(acc["it"]).alias("it"), x[_MARK].alias("mark")
+        ),
+        lambda acc: F.when((acc["n"] == 2) & (acc["mark"] == mark), acc["it"]),
     )
     return df.where(line != "").withColumns({RAW: F.col(text), "_fields": single})
 

@@ -125,7 +125,14 @@ def read_event_xml(
     return _normalize(_scan(spark, paths).withColumns(stamps))
 
 
+def _by_tag(spark: SparkSession) -> None:
+    """Find events by their tag alone. Exports often have no element around their events, and Spark's
+    other parser takes the first event for the whole file then."""
+    spark.conf.set("spark.sql.legacy.useLegacyXMLParser", "true")
+
+
 def _scan(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    _by_tag(spark)
     rows = (
         spark.read.format("xml")
         .options(**_OPTIONS)
@@ -177,10 +184,6 @@ def read_manifest_events(spark: SparkSession, root: str, manifest: DataFrame | N
     rows by manifest entry, then by place in the file.
     """
     manifest = manifest_table(spark) if manifest is None else manifest
-    entries = manifest.select(
-        "file_rank", F.col("category").alias("_category"), F.col("file").alias("source_file"),
-        "label", "tactic", "technique", F.col("label").alias("source_dataset"),
-    )
     everything = f"{root.rstrip('/')}/*/*"
     listed = _files(spark, everything).join(
         manifest.select("category", "file"), ["category", "file"], "left_semi"
@@ -188,11 +191,39 @@ def read_manifest_events(spark: SparkSession, root: str, manifest: DataFrame | N
     # No more than the manifest has entries; only these files are opened.
     paths = [re.sub(r"([{}\[\]*?\\])", r"\\\1", row.path) for row in listed.select("path").collect()]
     scanned = _scan(spark, paths) if paths else _scan(spark, everything).where(F.lit(False))
+    return _normalize(_stamped(scanned, manifest))
+
+
+def _stamped(scanned: DataFrame, manifest: DataFrame) -> DataFrame:
+    entries = manifest.select(
+        "file_rank", F.col("category").alias("_category"), F.col("file").alias("source_file"),
+        "label", "tactic", "technique", F.col("label").alias("source_dataset"),
+    )
     rows = scanned.withColumn("_category", _category(F.col("_path")))
-    stamped = rows.join(entries, ["_category", "source_file"]).withColumn(
+    return rows.join(entries, ["_category", "source_file"]).withColumn(
         "ord", F.shiftleft(F.col("file_rank").cast("long"), FILE_BITS) + F.col("ord")
     )
-    return _normalize(stamped)
+
+
+def stream_event_xml(spark: SparkSession, root: str, max_files: int | None = None) -> DataFrame:
+    """Events of the files that appear under `<root>/<category>/`, as a feed for `feeds.ingest_stream`.
+
+    Events may span lines. With `normalize_manifest_batch` as its step the feed gives the rows of
+    `read_manifest_events`, accepted and rejected, numbered within their micro-batch.
+    """
+    _by_tag(spark)
+    reader = spark.readStream.format("xml").options(**_OPTIONS).schema(_WITH_CORRUPT)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.load(f"{root.rstrip('/')}/*/*").select(
+        F.struct("System", "EventData").alias("_event"), "_corrupt", F.col("_corrupt").alias(RAW),
+        source_name().alias("source_file"), _decoded_path().alias("_path"), F.col("_metadata.file_block_start").alias("_block"),
+    )
+
+
+def normalize_manifest_batch(manifest: DataFrame):
+    """Stamp and normalise a micro-batch; files that the manifest does not name give no rows."""
+    return lambda batch: _normalize(_stamped(batch, manifest))
 
 
 def missing_manifest_files(spark: SparkSession, root: str, manifest: DataFrame | None = None) -> DataFrame:

@@ -1,20 +1,13 @@
-"""Streaming forms of ingestion, duplicate removal, rolling features and scoring."""
+"""Streaming forms of ingestion, duplicate removal and scoring; `keyed` has those that keep state by key."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from eventward.catalog import WINDOW_SECONDS
-from eventward.functions.times import event_micros
-from eventward.operators.rolling import NO_HOST, ROLLING_COLUMNS, USER
-from eventward.session import prepare, scratch_path, ship
+from eventward.session import prepare, scratch_path
 from eventward.sources.normalize import RAW, REASON
 
 
@@ -79,9 +72,9 @@ def with_quarantine(normalized: DataFrame) -> DataFrame:
 def deduplicate_stream(
     events: DataFrame, delay: str, key: tuple[str, ...] = ("source_file", "record_id")
 ) -> DataFrame:
-    """Drop repeated keys within the watermark; rows without a record id pass untouched.
+    """Drop repeated keys within the watermark, and late rows; rows without a record id pass untouched.
 
-    `delay` must cover the spread of event times over which copies arrive.
+    This is Spark's own form, without Python; `keyed.first_wins_stream` keeps what it drops. `delay` must cover the spread of event times over which copies arrive.
     """
     has_id = F.col(key[-1]).isNotNull()
     marked = events.withColumn("_event_time", F.col("timestamp").cast("timestamp"))
@@ -89,94 +82,6 @@ def deduplicate_stream(
     return kept.unionByName(marked.where(~has_id)).drop("_event_time")
 
 
-_STATE = T.StructType(
-    [
-        T.StructField("last_us", T.LongType()),
-        T.StructField("us", T.ArrayType(T.LongType())),
-        T.StructField("event_id", T.ArrayType(T.IntegerType())),
-        T.StructField("host", T.ArrayType(T.StringType())),
-    ]
-)
-
-
-def _present(us: np.ndarray, values: pd.Series, left: np.ndarray, span: int) -> np.ndarray:
-    """Distinct values in the trailing window: openings so far less closings at or before its start."""
-    times, known = pd.Series(us), values.notna().to_numpy()  # nulls are no values
-    by_value = times.groupby(values.to_numpy())
-    opens = ~(times - by_value.shift(1) < span).to_numpy() & known
-    closes = ~(by_value.shift(-1) - times < span).to_numpy() & known
-    closed = np.concatenate([[0], np.cumsum(closes)])
-    return np.cumsum(opens) - closed[left]
-
-
-def _rolling_step(span: int, columns: list[str]) -> Callable:
-    def step(_key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(chunks), ignore_index=True).sort_values(["us", "ord"], ignore_index=True)
-        last, us, ids, hosts = state.get if state.exists else (None, [], [], [])
-        late = rows["us"] < last if last is not None else pd.Series(False, index=rows.index)
-        for c in ROLLING_COLUMNS[:3]:
-            rows[c] = pd.Series(pd.NA, index=rows.index, dtype="Int64")
-        rows[ROLLING_COLUMNS[3]] = np.nan
-        rows["late"] = late
-        new = rows[~late]
-        if len(new):
-            kept = len(us)
-            times = np.concatenate([np.asarray(us, dtype=np.int64), new["us"].to_numpy()])
-            all_ids = pd.Series(list(ids) + new["event_id"].tolist())
-            all_hosts = pd.Series(list(hosts) + new["host"].tolist())
-            left = np.searchsorted(times, times - span, side="right")
-            rows.loc[~late, ROLLING_COLUMNS[0]] = (np.arange(1, len(times) + 1) - left)[kept:]
-            rows.loc[~late, ROLLING_COLUMNS[1]] = _present(times, all_ids, left, span)[kept:]
-            rows.loc[~late, ROLLING_COLUMNS[2]] = _present(times, all_hosts, left, span)[kept:]
-            before = np.concatenate([[np.nan if last is None else last], times[kept:-1].astype(float)])
-            rows.loc[~late, ROLLING_COLUMNS[3]] = (times[kept:] - before) / 1e6
-            stay = times > times[-1] - span
-            state.update((
-                int(times[-1]), times[stay].tolist(), [None if pd.isna(i) else int(i) for i in all_ids[stay]],
-                all_hosts[stay].tolist(),
-            ))
-        yield rows[columns]
-
-    return step
-
-
-def rolling_features_stream(events: DataFrame, seconds: int = WINDOW_SECONDS) -> DataFrame:
-    """The four rolling columns on a feed: (ord, late, ...) per event with a user and a time.
-
-    State per user is the time of the last event and the events of the last window. It is kept for
-    every user seen: a processing-time timer would keep a run over all available input from
-    ending, and an event-time one would drop late rows. Rows older than the user's last event are marked late and get no
-    values. A user's rows of one micro-batch meet in one task; the source's rate limit bounds
-    them. Rows without a user need no state and get the fixed values.
-    """
-    ship(events.sparkSession, "eventward")
-    known = F.col(USER).isNotNull() & F.col("timestamp").isNotNull()
-    rows = events.select(
-        "ord", USER, event_micros().alias("us"), "event_id",
-        F.coalesce("computer", F.lit(NO_HOST)).alias("host"), "timestamp",
-    )
-    schema = T.StructType(
-        [T.StructField("ord", T.LongType()), T.StructField("late", T.BooleanType())]
-        + [T.StructField(c, T.LongType()) for c in ROLLING_COLUMNS[:3]]
-        + [T.StructField(ROLLING_COLUMNS[3], T.DoubleType())]
-    )
-    keyed = (
-        rows.where(known)
-        .select("ord", USER, "us", "event_id", "host")
-        .groupBy(USER)
-        .applyInPandasWithState(
-            _rolling_step(seconds * 1_000_000, schema.names), schema, _STATE, "append",
-            GroupStateTimeout.NoTimeout,
-        )
-    )
-    alone = rows.where(~known).select(
-        "ord", F.lit(False).alias("late"), F.lit(1).cast("long").alias(ROLLING_COLUMNS[0]),
-        F.lit(1).cast("long").alias(ROLLING_COLUMNS[1]), F.lit(0).cast("long").alias(ROLLING_COLUMNS[2]),
-        F.lit(None).cast("double").alias(ROLLING_COLUMNS[3]),
-    )
-    return keyed.unionByName(alone)
-
-
 def score_stream(events: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, checkpoint: str):
     """Score each micro-batch with the batch operator; a repeated batch replaces its own output."""
 

@@ -101,26 +101,6 @@ def batches(spark, tmp_path):
     return table, stream
 
 
-def test_stream_rolling_equals_batch(spark, batches):
-    table, stream = batches
-    got = feeds.run_to_table(feeds.rolling_features_stream(stream), "t-rolling")
-    assert got.where("late").count() == 0
-    batch = add_rolling_features(table).select("ord", *ROLLING_COLUMNS)
-    assert sorted(map(tuple, got.select("ord", *ROLLING_COLUMNS).collect())) == sorted(map(tuple, batch.collect()))
-
-
-def test_stream_rolling_marks_late_rows(spark, tmp_path):
-    rows = [(1, 2_000_000_000, "h", "u", 1, "a"), (2, 1_000_000_000, "h", "u", 1, "a"), (3, 2_100_000_000, "h", "u", 2, "a")]
-    folder = str(tmp_path / "late")
-    for row in rows:
-        event_table(spark, [row]).coalesce(1).write.mode("append").parquet(folder)
-    schema = event_table(spark, rows).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    got = {r.ord: r for r in feeds.run_to_table(feeds.rolling_features_stream(stream), "t-late").collect()}
-    assert got[2].late and got[2].events_last_5min_user is None
-    assert not got[3].late and got[3].events_last_5min_user == 2 and got[3].seconds_since_prev_event_user == 100.0
-
-
 def test_stream_deduplicate(spark, tmp_path):
     from eventward.sources.adapter import read_security_events
 
@@ -154,27 +134,3 @@ def test_stream_scoring_writes_each_batch(spark, batches, tmp_path):
     feeds.score_stream(stream, lambda b: b.select("ord", F.lit("x").alias("s")), path, str(tmp_path / "state")).awaitTermination()
     got = spark.read.parquet(path)
     assert got.count() == 200 and got.select("batch").distinct().count() == 4
-
-
-def test_stream_step_takes_null_ids():
-    import pandas as pd
-
-    from eventward.operators.rolling import ROLLING_COLUMNS as COLUMNS
-    from eventward.streaming.feeds import _rolling_step
-
-    class State:
-        exists, get = False, None
-
-        def update(self, value):
-            self.exists, self.get = True, value
-
-    step = _rolling_step(300_000_000, ["ord", "late", *COLUMNS])
-    rows = pd.DataFrame(
-        {"ord": [1, 2, 3], "us": [0, 1_000_000, 2_000_000], "event_id": [4624, None, 4624], "host": ["a", "a", "b"]}
-    )
-    state = State()
-    (found,) = step("u", iter([rows]), state)
-    assert found[COLUMNS[0]].tolist() == [1, 2, 3] and found[COLUMNS[1]].tolist() == [1, 1, 1]
-    assert state.get[2] == [4624, None, 4624]
-    (later,) = step("u", iter([rows.assign(us=rows["us"] + 5_000_000)]), state)
-    assert later[COLUMNS[0]].tolist() == [4, 5, 6]

@@ -142,6 +142,11 @@ def test_json_lines(spark):
         ('[{"EventID":1}]', "malformed_json"),
         ("{'EventID':1}", "malformed_json"),
         ('{"EventID":1,%s} trailing' % TIME, "malformed_json"),
+        ('{"EventID":1,%s}] xyz' % TIME, "malformed_json"),
+        ('{"EventID":1,%s}][1]' % TIME, "malformed_json"),
+        ('{"EventID":1,%s},{"~":1}]' % TIME, "malformed_json"),
+        ('{"EventID":1,%s},{"EventID":2}' % TIME, "malformed_json"),
+        ('[{"EventID":1,%s}]' % TIME, "malformed_json"),
         ("{%s}" % TIME, "no_event_id"),
         ('{"EventID":null,%s}' % TIME, "bad_event_id"),
         ('{"EventID":"4.5",%s}' % TIME, "bad_event_id"),
@@ -328,3 +333,16 @@ def test_blanks_in_xml_values_stay(spark, tmp_path):
     (tmp_path / "e.xml").write_text(event(data=data(("SubjectUserName", "  bob "))))
     (row,) = read_event_xml(spark, str(tmp_path / "e.xml"), "d").collect()
     assert row.subject_user_name == "  bob "
+
+
+def test_logs_need_no_element_around_their_events(spark, tmp_path):
+    event = '<Event xmlns="http://x">\n<System><EventID>%d</EventID><TimeCreated SystemTime="2020-01-01 00:00:00"/></System>\n</Event>\n'
+    for name, text in (
+        ("bare", "".join(event % i for i in range(5))),
+        ("wrapped", "<Events>\n" + "".join(event % i for i in range(5)) + "</Events>"),
+        ("records", '<?xml version="1.0"?>\nRecord 1\n' + event % 0 + 'Record 2\n<?xml version="1.0"?>\n' + event % 1),
+    ):
+        (tmp_path / f"{name}.xml").write_text(text)
+        got = read_event_xml(spark, str(tmp_path / f"{name}.xml"), "d", "l").collect()
+        assert sorted(r.event_id for r in got) == list(range(2 if name == "records" else 5)), name
+        assert all(r.reject_reason is None for r in got)
