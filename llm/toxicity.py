@@ -6,6 +6,10 @@ whole. A linear scan finds every maximal-scoring segment of a text. By chance a
 reaches a segment score of x with the extreme-value probability 1 - exp(-K n exp(-l x)); l and K
 are fitted on texts without the label. What segments score beyond chance adds up to a text's
 evidence, which a logistic curve turns into a probability.
+
+Extremes and curve are fitted on labelled texts whose tokens score by the counts of the other folds,
+so that no text is judged by what it taught itself. Then all texts are scanned once, by all counts;
+every segment beyond chance counts, however low its score.
 """
 
 from __future__ import annotations
@@ -21,8 +25,9 @@ from pyspark.sql import functions as F
 
 from llm.common import ship, stored
 
-#: Cells of the tables of counts, for words and for beginnings; the tables have this size for any
-#: corpus, and are what is collected and broadcast (about 20 MB).
+#: Cells of the tables of counts, for words and for beginnings, by hash: words may share one. The
+#: tables have this size for any corpus and are what is collected and broadcast, a pair for each of
+#: the calibration's folds (about 36 MB, then 9 MB).
 WORD_CELLS, START_CELLS = 1 << 20, 1 << 16
 START_LETTERS = 5
 #: Strength of the priors, in documents, and what every token costs a segment.
@@ -30,8 +35,8 @@ WORD_PRIOR, START_PRIOR, DRIFT = 12.0, 12.0, 0.35
 #: Labelled rows to learn from, about: beyond this number a share of them is drawn by a hash of the
 #: id. It bounds what is broadcast to find their texts (a few MB).
 MOST_LABELS = 200_000
-#: Segments with a lower score are not kept; chance alone gives such in most texts.
-LEAST_SEGMENT = 1.5
+#: Folds of the labelled rows for the calibration.
+FOLDS = 4
 _EDGES = ".,;:!?\"'()[]{}<>|#*$%&-_+=/\\«»“”„‘’…"
 _MEMORY = 300_000
 
@@ -73,7 +78,7 @@ class Odds(dict):
         return value
 
 
-def maximal_segments(scores: np.ndarray, least: float) -> list[tuple[int, int, float]]:
+def maximal_segments(scores: np.ndarray, least: float = 0.0) -> list[tuple[int, int, float]]:
     """All maximal-scoring segments (start, end, score) with at least `least`, by one scan.
 
     A segment is kept as the sums before it and up to its end. A new positive score joins back
@@ -101,11 +106,11 @@ def maximal_segments(scores: np.ndarray, least: float) -> list[tuple[int, int, f
 
 
 def count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (toxic, text) to sums per cell, each word once per document."""
-    toxic, clean = (np.zeros(WORD_CELLS + START_CELLS, np.int64) for _ in range(2))
+    """Rows (part, toxic, text) to sums per part and cell, each word once per document."""
+    sums = np.zeros((FOLDS, 2, WORD_CELLS + START_CELLS), np.int32)
     memory: dict[str, tuple[int, int]] = {}
     for batch in batches:
-        for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for part, label, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
             mine = set()
             for token in set(tokens_of(text)):
                 if token:
@@ -114,11 +119,11 @@ def count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                             memory.clear()
                         pair = memory[token] = cells(token)
                     mine.update(pair)
-            (toxic if label else clean)[np.fromiter(mine, np.int64, len(mine))] += 1
-    some = np.flatnonzero(toxic + clean)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(some.astype(np.int32)), pa.array(toxic[some]), pa.array(clean[some])], ["cell", "toxic", "clean"]
-    )
+            sums[part, int(label), np.fromiter(mine, np.int64, len(mine))] += 1
+    for part in range(FOLDS):
+        some = np.flatnonzero(sums[part].any(axis=0))
+        columns = [np.full(len(some), part, np.int32), some.astype(np.int32), *(sums[part, k, some].astype(np.int64) for k in (1, 0))]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["part", "cell", "toxic", "clean"])
 
 
 def fit_extremes(counts: dict[tuple[int, int], int]) -> tuple[float, float]:
@@ -176,8 +181,9 @@ def score_toxicity(
     segments beyond chance: first and last token (exclusive), score, and the number of such
     expected by chance in the text. Null, empty and wordless texts have none and get the score
     of no evidence. Without labels all get the smoothed rate. Repeated rows are scored alike; an
-    empty table gives no rows. Texts are never shuffled: cells of counts are, as many as the
-    tables have, and their sums are collected.
+    empty table gives no rows. Very long texts are scanned whole, in time that grows with their
+    length. Other columns are not read. Texts are never shuffled: cells of counts are, as many as
+    the tables have, and their sums are collected.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -193,56 +199,76 @@ def score_toxicity(
     # At most about `most_labels` narrow rows, so every task can have them all.
     known = F.broadcast(stored(known, "toxic-labels"))
 
-    taught = narrow.join(known, "id").select((F.col("toxic") > 0).alias("toxic"), "text")
-    parts = taught.mapInArrow(count_cells, "cell int, toxic bigint, clean bigint")
-    sums = parts.groupBy("cell").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    found = sums.toArrow()  # as many rows as there are cells
-    toxic, clean = (np.zeros(WORD_CELLS + START_CELLS) for _ in range(2))
-    at = found.column("cell").to_numpy()
-    toxic[at], clean[at] = found.column("toxic").to_numpy(), found.column("clean").to_numpy()
+    part = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(FOLDS)).cast("int")
+    taught = narrow.join(known, "id").select(part.alias("part"), (F.col("toxic") > 0).alias("toxic"), "text")
+    parts = taught.mapInArrow(count_cells, "part int, cell int, toxic bigint, clean bigint")
+    sums = parts.groupBy("part", "cell").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    found = sums.toArrow()  # as many rows as there are cells in the folds
+    counts = np.zeros((FOLDS, 2, WORD_CELLS + START_CELLS), np.float32)
+    at = found.column("part").to_numpy(), found.column("cell").to_numpy()
+    counts[at[0], 0, at[1]], counts[at[0], 1, at[1]] = found.column("toxic").to_numpy(), found.column("clean").to_numpy()
+    del found
     classes = {row["toxic"]: row["n"] for row in known.groupBy((F.col("toxic") > 0).alias("toxic")).agg(F.count("*").alias("n")).collect()}
     rate = (classes.get(True, 0) + 0.5) / (sum(classes.values()) + 1)
-    table = spark.sparkContext.broadcast((toxic.astype(np.float32), clean.astype(np.float32), rate))
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        odds = Odds(*table.value)
-        span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())])
+    whole = counts.sum(axis=0)
+    folds = spark.sparkContext.broadcast((whole[None] - counts, rate))
+    table = spark.sparkContext.broadcast((whole, rate))
+    del counts, whole
+
+    def scan_others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(toxic, n_tokens, scores of all segments) of labelled texts, by the counts of the other folds."""
+        tables, mean = folds.value
+        odds = [Odds(*tables[k], mean) for k in range(FOLDS)]
         for batch in batches:
-            sizes, spans = [], []
-            for value in batch.column(1).to_pylist():
-                tokens = tokens_of(value)
-                scores = np.fromiter(map(odds.__getitem__, tokens), float, len(tokens))
+            sizes, scores = [], []
+            for number, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                tokens = tokens_of(text)
+                found = maximal_segments(np.fromiter(map(odds[number].__getitem__, tokens), float, len(tokens)))
                 sizes.append(len(tokens))
-                spans.append([{"start": a, "end": b, "score": s} for a, b, s in maximal_segments(scores, LEAST_SEGMENT)])
+                scores.append([x for _, _, x in found])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(span))], ["id", "n_tokens", "spans"]
+                [batch.column(1), pa.array(sizes, pa.int64()), pa.array(scores, pa.list_(pa.float64()))], ["toxic", "n_tokens", "scores"]
             )
 
-    scanned = narrow.mapInArrow(
-        scan, f"id {id_type}, n_tokens bigint, spans array<struct<start:int,end:int,score:double>>"
-    )
-    scanned = stored(scanned, "toxic-segments")
+    others = stored(taught.mapInArrow(scan_others, "toxic boolean, n_tokens bigint, scores array<double>"), "toxic-segments")
     length = F.greatest(F.col("n_tokens"), F.lit(1)).cast("double")
-    best = F.coalesce(F.array_max(F.transform("spans", lambda s: s["score"])), F.lit(0.0))
-    taught = scanned.join(known, "id")
-    cleans = taught.filter("toxic <= 0").groupBy(
-        F.round(F.log2(length)).cast("int").alias("length"), F.round(F.least(best, F.lit(200.0)) * 4).cast("int").alias("best")
+    best = F.coalesce(F.array_max("scores"), F.lit(0.0))
+    cleans = others.filter("NOT toxic").groupBy(
+        F.round(F.log2(length)).cast("int").alias("length"), F.round(best * 4).cast("int").alias("best")
     ).count()
+    # Here and below no more rows come than there are labelled rows to learn from.
     decay, log_k = fit_extremes({(row["length"], row["best"]): row["count"] for row in cleans.collect()})
-
-    beyond = lambda s: s["score"] * decay - (F.log(length) + log_k)
-    evidence = F.aggregate("spans", F.lit(0.0), lambda acc, s: acc + F.greatest(beyond(s), F.lit(0.0)))
-    bins = scanned.withColumn("evidence", evidence)
-    seen = bins.join(known, "id").groupBy(
-        F.round(F.least("evidence", F.lit(100.0)) * 4).cast("int").alias("bin")
-    ).agg(F.count_if(F.col("toxic") <= 0).alias("clean"), F.count_if(F.col("toxic") > 0).alias("toxic"))
+    excess = F.transform("scores", lambda x: F.greatest(x * decay - (F.log(length) + log_k), F.lit(0.0)))
+    evidence = F.aggregate(excess, F.lit(0.0), lambda acc, x: acc + x)
+    seen = others.groupBy(F.round(evidence * 4).cast("int").alias("bin")).agg(
+        F.count_if(~F.col("toxic")).alias("clean"), F.count_if("toxic").alias("toxic")
+    )
     bias, slope = fit_curve({row["bin"]: (row["clean"], row["toxic"]) for row in seen.collect()})
-    curve = 1 / (1 + F.exp(-(F.lit(bias) + F.lit(slope) * F.least(F.col("evidence"), F.lit(100.0)))))
-    passages = F.transform(
-        F.filter("spans", lambda s: beyond(s) > 0),
-        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["score"].alias("score"), F.exp(-beyond(s)).alias("by_chance")),
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counted, mean = table.value
+        odds = Odds(*counted, mean)
+        span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64()), ("by_chance", pa.float64())])
+        for batch in batches:
+            sizes, sums, passages = [], [], []
+            for value in batch.column(1).to_pylist():
+                tokens = tokens_of(value)
+                scores = np.fromiter(map(odds.__getitem__, tokens), float, len(tokens))
+                chance = math.log(max(len(tokens), 1)) + log_k
+                beyond = [(a, b, x, x * decay - chance) for a, b, x in maximal_segments(scores) if x * decay > chance]
+                sizes.append(len(tokens))
+                sums.append(math.fsum(x[3] for x in beyond))
+                passages.append([{"start": a, "end": b, "score": x, "by_chance": math.exp(-y)} for a, b, x, y in beyond])
+            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64()), pa.array(passages, pa.list_(span))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", "evidence", "passages"])
+
+    bins = narrow.mapInArrow(
+        scan,
+        f"id {id_type}, n_tokens bigint, evidence double, "
+        "passages array<struct<start:int,end:int,score:double,by_chance:double>>",
     )
-    return bins.withColumns({"score": curve if classes else F.lit(rate), "passages": passages}).select(
+    curve = 1 / (1 + F.exp(-(F.lit(bias) + F.lit(slope) * F.col("evidence"))))
+    return bins.withColumn("score", curve if classes else F.lit(rate)).select(
         F.col("id").alias(doc_id),
         (fold_of(F.col("id")) == 0).alias("held_out"),
         "score",

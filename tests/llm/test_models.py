@@ -1,4 +1,5 @@
 import collections
+import itertools
 import math
 import random
 import re
@@ -7,7 +8,7 @@ import zlib
 import numpy as np
 
 from llm.html_text import Labeller, Pages, blocks_of, extract_main_text, trained_labeller
-from llm.language_model import Restaurants, Seats, Totals, score_texts
+from llm.language_model import Restaurants, Seats, Totals, score_texts, sizes
 from llm.toxicity import maximal_segments, score_toxicity
 from tests.llm.odd import empty, lower_words, odd_documents
 
@@ -51,10 +52,10 @@ def test_probabilities_of_a_restaurant_sum_to_one():
     place = np.array([0, 1, 0, 0, 1, 1])
     count = np.array([5, 1, 2, 40, 3, 1])
     here = Restaurants(word, place, count, 4, 0)
-    first = Totals.first(here.sums())
+    first = Totals.first(here.sums(2))
     for _ in here.phase(first, 3):
         pass
-    later = first.later(here.sums())
+    later = first.later(here.sums(2))
     # Every word in restaurant 0, seen there or not, and the unknown word.
     full = Restaurants(np.arange(4), np.zeros(4, int), np.array([5, 2, 40, 0]), 4, 0)
     root = here.root(later)
@@ -68,15 +69,68 @@ def test_probabilities_of_a_restaurant_sum_to_one():
 
 def test_seats_stay_consistent():
     rng = np.random.default_rng(3)
-    seats = Seats(rng.integers(2, 60, 200))
-    weight = rng.random(200) * 3
-    seats.open(weight)
-    for _ in range(50):
-        seats.step(weight, 0.5, rng)
-        assert (np.bincount(seats.owner, seats.size, 200) == seats.count).all()
+    count, weight = rng.integers(1, 90, 200), rng.random(200) * 3
+    seats = Seats(count, weight, 0.5)
+    for turn in range(30):
+        seats.sweep(weight, 0.5, rng)
+        if turn % 3 == 2:
+            count = np.maximum(1, count + rng.integers(-9, 10, 200))
+            seats.resize(count, weight, 0.5, rng)
+        assert (np.bincount(seats.owner, seats.size, 200) == count).all()
         assert (seats.size > 0).all() and (np.diff(seats.owner) >= 0).all()
 
 
+def test_sweeps_sample_the_posterior_of_seatings():
+    """Of three and four customers all seatings can be listed, with their weights."""
+    rng, discount, weight = np.random.default_rng(4), 0.4, 0.7
+    for count in (3, 4):
+        chance = collections.Counter()
+        for seating in itertools.product(range(count), repeat=count):
+            if all(seating[i] <= max(seating[:i], default=-1) + 1 for i in range(count)):  # tables in order of their first customer
+                sizes = collections.Counter(seating).values()
+                chance[len(sizes)] += math.prod(weight * math.prod(k - discount for k in range(1, n)) for n in sizes)
+        dishes = 4000
+        seats = Seats(np.full(dishes, count), np.full(dishes, weight), discount)
+        found = collections.Counter()
+        for turn in range(30):
+            seats.sweep(np.full(dishes, weight), discount, rng)
+            if turn >= 10:
+                found.update(seats.tables().tolist())
+        for tables, value in chance.items():
+            assert abs(found[tables] / found.total() - value / chance.total()) < 0.01
+
+
+def test_large_dishes_move_in_parts():
+    """A dish of any size has as many tables as customers seated one by one have, about."""
+    rng, discount, weight = np.random.default_rng(5), 0.5, 2.0
+    seats = Seats(np.full(60, 600), np.full(60, weight), discount)
+    for _ in range(40):
+        seats.sweep(np.full(60, weight), discount, rng)
+    one = Seats(np.full(60, 600), np.full(60, weight), discount)
+    for _ in range(4000):
+        one._leave(np.ones(60, int), rng)
+        one._join(np.full(60, weight), discount, rng)
+    assert abs(seats.tables().mean() / one.tables().mean() - 1) < 0.2
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for number in ("4", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", number)
+            found.append({r.doc_id: r.score for r in score_texts(docs.repartition(int(number))).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0].keys() == found[1].keys()
+    assert all(abs(v - found[1][k]) < 1e-6 * abs(v) for k, v in found[0].items())
+
+
+def test_sizes_follow_the_text():
+    assert sizes(0) == (8, 1024) and sizes(10**9) == (239, 65536)
+    assert sizes(10**12)[0] > 200_000
+
+
 def brute_segments(scores):
     def best(a, b):
         found = None
