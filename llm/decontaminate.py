@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import drop_columns, map_batches, ship, stored
+from llm.common import drop_columns, map_batches, shielded, ship, stored
 
 WINDOW = 10
 #: (window, item) pairs that one pass over the documents looks for. It bounds what is collected
@@ -138,6 +138,7 @@ def _covered(spans: Column) -> Column:
     )
 
 
+@shielded
 def find_contamination(
     docs: DataFrame,
     items: DataFrame,

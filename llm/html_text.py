@@ -27,10 +27,15 @@ from llm.common import drop_columns, ship
 
 # Elements by what they do to text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template svg iframe select textarea title object math".split())
+SILENT = frozenset("script style noscript template svg iframe select textarea title".split())
+#: Of these an element without an end runs to the end of the page; the text of other silent ones stays then.
+RAW_TEXT = frozenset("script style textarea title".split())
+IN_HEAD = frozenset("html head title meta link base script style noscript template".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
-    "strong sub sup time tt u var wbr br img input".split()
+    "strong sub sup time tt u var wbr br img input object "
+    "math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mtable mtr mtd mspace "
+    "mstyle semantics annotation".split()
 )
 #: A start tag of the first kind ends an open element of the second.
 CLOSES = {
@@ -43,6 +48,7 @@ _TOKEN = re.compile(
 )
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 _PARTS = re.compile(r"[a-z]+")
+_NO_DIGITS = re.compile(r"\D+")
 
 PATH_CELLS, WORD_CELLS = 1024, 512
 PATH_SIZE, WORD_SIZE, FIGURES, HIDDEN = 24, 12, 7, 24
@@ -62,7 +68,8 @@ class Block:
 
 
 def blocks_of(page: str | None) -> list[Block]:
-    """Leaf blocks with text, in page order. Unclosed elements end where their parent does."""
+    """Leaf blocks with text, in page order. Unclosed elements end where their parent does, and the
+    head where text or an element begins that cannot stand in it."""
     stack: list[tuple[str, str]] = []  # tag, hashed names of it
     found: list[Block] = []
     pieces: list[str] = []
@@ -78,17 +85,35 @@ def blocks_of(page: str | None) -> list[Block]:
             pieces.clear()
         state["linked"] = 0
 
+    def end_head() -> None:
+        depth = next((k for k, (tag, _) in enumerate(stack) if tag == "head"), None)
+        if depth is not None:
+            del stack[depth:]
+
     def add(text: str) -> None:
         if not text:
             return
         if not pieces:
             if text.isspace():
                 return
+            end_head()
             state["path"] = tuple(name for _, names in stack for name in names.split())
         pieces.append(text)
         if state["links"]:
             state["linked"] += len(text.strip())
 
+    def end_of(tag: str, start: int, empty: bool) -> int:
+        """Where the text of a silent element is over, 0 if it has none or never ends."""
+        if empty:
+            return 0
+        if tag not in missing:
+            end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, start)
+            if end:
+                return end.end()
+            missing.add(tag)  # looked for once, so many open tags take linear time
+        return size if tag in RAW_TEXT else 0
+
+    missing: set[str] = set()
     for token in iter(lambda: _TOKEN.search(page, at), None):
         add(page[at : token.start()])
         at = token.end()
@@ -102,11 +127,12 @@ def blocks_of(page: str | None) -> list[Block]:
             if any(name not in INLINE for name, _ in stack[depth:]):
                 close_block()
             del stack[depth:]
-        elif tag in SILENT and not (token.group(3) or "").endswith("/"):
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
-            at = end.end() if end else size
+        elif tag in SILENT and (end := end_of(tag, at, (token.group(3) or "").endswith("/"))):
+            at = end
             continue
         else:
+            if tag not in IN_HEAD:
+                end_head()
             if tag == "br":
                 add(" ")
             if tag not in INLINE:
@@ -127,7 +153,7 @@ def blocks_of(page: str | None) -> list[Block]:
         state["links"] = sum(name == "a" for name, _ in stack)
     add(page[at:])
     close_block()
-    return [b for b in found if "head" not in b.path[:2] or "body" in b.path]
+    return found
 
 
 _cells: dict[str, int] = {}
@@ -146,7 +172,7 @@ def _figures(block: Block) -> list[float]:
     ends = block.text[-1] in ".!?…\"'”»"
     return [
         np.log1p(block.words) / 4, min(1.0, block.linked / length), float(ends),
-        min(1.0, block.text.count(",") / block.words), min(1.0, sum(c.isdigit() for c in block.text[:400]) / min(length, 400)),
+        min(1.0, block.text.count(",") / block.words), len(_NO_DIGITS.sub("", block.text)) / length,
         len(block.path) / 10, 1.0,
     ]
 

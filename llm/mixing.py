@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import drop_columns, stored
+from llm.common import drop_columns, shielded, stored
 
 #: Weights of sources not named: a source's share to this power, so that small ones gain.
 POWER = 0.7
@@ -71,6 +71,7 @@ def source_rates(
     return sums.select("source", "n_chars", share.alias("weight"), rate.alias("rate"))
 
 
+@shielded
 def mix_sources(
     df: DataFrame, weights: Mapping[str, float] | None = None, size: float = 1.0, seed: str = SEED,
     doc_id: str = "doc_id", source: str = "source", text: str = "text", power: float = POWER,
@@ -82,7 +83,8 @@ def mix_sources(
     a source of such texts alone is left out, as is one with weight zero. An empty table stays
     empty; columns of the two names are replaced. Sources are summed by partial sums, and joined
     by the size of the written table of rates, so a source with a third of all rows is no task
-    of its own. The order is a range shuffle on the hash of seed, id and copy.
+    of its own. The order is that of a hash of seed, id and copy, in parts of its range. Texts of any
+    length are only carried along; columns with names like `__n` come back as they were.
     """
     df = drop_columns(df, "copy", "shuffle_key")
     rates = stored(source_rates(df, weights, size, source, text, power), "source-rates")
@@ -95,4 +97,7 @@ def mix_sources(
     copies = drawn.withColumn("__n", count).filter("__n > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
     name = F.concat_ws(":", F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.col("copy"))
     keyed = copies.drop("__source", "__chances", "__u", "__n").withColumn("shuffle_key", F.md5(name))
-    return keyed.repartitionByRange("shuffle_key").sortWithinPartitions("shuffle_key")
+    # The key is a hash, so its range is cut evenly; a range shuffle would draw everything twice to find the cuts.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.conv(F.substring("shuffle_key", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
+    return keyed.repartitionById(parts, F.floor(place * parts).cast("int")).sortWithinPartitions("shuffle_key")

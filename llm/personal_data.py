@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import drop_columns, in_one_row
+from llm.common import drop_columns, in_one_row, shielded
 
 # The base kinds in the order in which spans are listed, and their patterns. A run
 # is entered only at its start, or where the match before ended, and quantifiers do not give back
@@ -248,6 +248,7 @@ def _chance(span: Column, models: dict[str, list[float]]) -> Column:
     return chance
 
 
+@shielded
 def find_personal_data(df: DataFrame, text: str = "text") -> DataFrame:
     """Add `spans`: kind, start, end (code points, end exclusive), base, by kind as listed, then start.
 

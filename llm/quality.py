@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import SPACES, drop_columns, in_one_row
+from llm.common import SPACES, drop_columns, in_one_row, shielded
 
 # Frequent function words of English, German, French and Spanish.
 STOP_WORDS = (
@@ -120,6 +120,7 @@ def _all_hold(rules: tuple[Rule, ...]) -> Column:
     return passed
 
 
+@shielded
 def quality_counts(df: DataFrame, text: str = "text") -> DataFrame:
     """Add the columns of `COUNTS` (long). A null text counts as an empty one.
 
@@ -156,6 +157,7 @@ def quality_counts(df: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+@shielded
 def apply_rules(
     df: DataFrame, text: str = "text", base: tuple[Rule, ...] = BASE, rules: tuple[Rule, ...] = RULES
 ) -> DataFrame:

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import drop_columns, ship, stored
+from llm.common import drop_columns, shielded, ship, stored
 from llm.graph import components
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
@@ -155,6 +155,7 @@ def near_duplicate_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "te
     )
 
 
+@shielded
 def keep_one_of_each_group(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without near-duplicates: of each component the row with the smallest id stays.
 

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from llm.common import drop_columns, ship
 
+# Capital letters that are younger than Python's tables, with their small letters.
+YOUNG_CAPITALS = {0xA7CB: 0x0264, 0xA7DC: 0x019B}
 #: Words and pieces whose counts a Python worker remembers; a full memory is emptied.
 MEMORY = 400_000
 
@@ -140,7 +142,7 @@ class Counter:
         """Lower case letter by letter: a sigma at the end of a word is not special here."""
         if part.isascii():
             return part.lower()
-        return unicodedata.normalize("NFC", part).replace("\u03a3", "\u03c3").lower()
+        return unicodedata.normalize("NFC", part).replace("\u03a3", "\u03c3").translate(YOUNG_CAPITALS).lower()
 
     def marked(self, word: str) -> int:
         """A stretch that may hold strings of added tokens."""

@@ -1,15 +1,20 @@
 import collections
 import random
+import re
 
 import xxhash
 
 from llm.decontaminate import find_contamination, words_of
 from llm.graph import components
 from llm.simhash import _signed, fingerprint, keep_one_of_each_group, links, near_duplicate_groups
-from llm.substrings import digest, remove_repeated, units_of
+from llm.queries import op1_substring_dedup
+from llm.substrings import remove_repeated
 from tests.llm.odd import empty, lower_words, odd_documents
 
 
+SF = "/root/testdata/sf0.001"
+
+
 def brute_fingerprint(text):
     found = lower_words(text)
     shingles = [" ".join(found[i : i + 3]) for i in range(len(found) - 2)] if len(found) > 2 else [" ".join(found)] * bool(found)
@@ -87,26 +92,81 @@ def test_fingerprint_of_very_long_text():
     assert fingerprint(text.encode()) == _signed(brute_fingerprint(text))
 
 
-def brute_removed(rows):
+def brute_units(text):
+    """Stretches between line ends and sentence ends, found character by character."""
+    units, start, i = [], 0, 0
+    while i <= len(text):
+        blank = text[i : i + 1] in (" ", "\t")
+        if i == len(text) or text[i] == "\n":
+            units.append((start, i))
+            start = i + 1
+        elif i and text[i - 1] in ".!?\u2026\u061f\u06d4\u0964\u0965" and blank or i and text[i - 1] in "\u3002\uff01\uff1f\uff61":
+            units.append((start, i))
+            blanks = " \t" if blank and text[i - 1] in ".!?\u2026\u061f\u06d4\u0964\u0965" else " \t\u3000"
+            while text[i : i + 1] and text[i] in blanks:
+                i += 1
+            start = i
+            if text[i : i + 1] == "\n":
+                continue
+        i += 1
+    return [(a, b) for a, b in units if a < b]
+
+
+def brute_words(text):
+    return tuple(re.findall(r"[^\W_]+(?:['\u2019-][^\W_]+)*", text.lower()))
+
+
+def brute_removed(rows, least_words=20, least_text=5):
     """doc_id and text in rank order; repeated rows count once."""
     first, out = set(), {}
     for doc_id, text in rows:
-        stretches, number = [], 0
-        for low, high in units_of(text or ""):
-            count, *value = digest(text[low:high])
-            if not count:
-                continue
-            if tuple(value) in first:
-                if stretches and stretches[-1][0] == number - 1:
-                    stretches[-1] = [number, stretches[-1][1], high, max(count, stretches[-1][3])]
-                else:
-                    stretches.append([number, low, high, count])
-            first.add(tuple(value))
-            number += 1
-        out[doc_id, text] = [(a, b) for _, a, b, n in stretches if n >= 5]
+        units = [(low, high, brute_words(text[low:high])) for low, high in brute_units(text or "")]
+        units = [u for u in units if u[2]]
+        marks = []
+        for _, _, words in units:
+            marks.append(words in first)
+            first.add(words)
+        spans, i = [], 0
+        while i < len(units):
+            j = i
+            while j < len(units) and marks[j]:
+                j += 1
+            words = sum(len(u[2]) for u in units[i:j])
+            if j > i and words >= (least_text if j - i == len(units) else least_words):
+                spans.append((units[i][0], units[j - 1][1]))
+            i = j + 1
+        out[doc_id, text] = spans
     return out
 
 
+def without(text, spans):
+    out, at = "", 0
+    for low, high in spans:
+        out, at = out + text[at:low], high
+    return out + text[at:]
+
+
+def test_substring_query_equals_the_plain_version(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()]
+    want = {i: spans for (i, _), spans in brute_removed(docs).items()}
+    rows = op1_substring_dedup(spark, SF).collect()
+    assert len(rows) == len(docs)
+    texts = dict(docs)
+    for row in rows:
+        assert row.removed == ",".join(f"{a}:{b}" for a, b in want[row.doc_id])
+        assert row.text == (without(texts[row.doc_id], want[row.doc_id]) if texts[row.doc_id] is not None else None)
+        assert row.n_removed == len(want[row.doc_id])
+
+
+def test_sentence_ends_of_other_scripts_and_short_repeats(spark):
+    chinese = "\u8fd9\u662f \u4e00 \u4e2a \u5f88 \u957f \u7684 \u53e5 \u5b50\u3002"
+    rows = [(1, f"{chinese}\u7532\u3002"), (2, f"\u4e59\u3002{chinese}{chinese}\u4e19\u3002 "), (3, chinese), (4, "Of the. New one here. "), (5, "Of the. Other one.")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: r for r in remove_repeated(df, least_words=10).collect()}
+    assert found[2].text == "\u4e59\u3002\u4e19\u3002 " and [tuple(s) for s in found[2].removed] == [(2, 2 + 2 * len(chinese))]
+    assert found[3].text == "" and found[4].text == rows[3][1] and found[5].text == rows[4][1]
+
+
 def test_repeated_units_of_odd_rows(spark):
     docs = odd_documents(spark)
     texts = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").distinct().collect()]

@@ -206,6 +206,26 @@ def test_blocks():
     assert blocks_of(None) == [] and blocks_of("<<<>>") != []
 
 
+def test_blocks_of_pages_with_elements_left_open():
+    texts = lambda page: [b.text for b in blocks_of(page)]
+    assert texts("<html><head><title>x</title><p>Body.</p>") == ["Body."]
+    assert texts("<head><meta charset=u><link href=x>Text at once<div>more") == ["Text at once", "more"]
+    assert texts("<html><head><title>x</title></head><body><p>a") == ["a"]
+    assert texts("<p>a</p><select><option>b<p>c</p>") == ["a", "b", "c"]
+    assert texts("<p>a</p><select><option>b</select><p>c</p>") == ["a", "c"]
+    assert texts("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> hold.</p><object>Kept.</object>") == ["Let x=1 hold.", "Kept."]
+    assert texts("<p>a</p><script>b<p>c</p>") == ["a"] and texts("<svg/><p>d") == ["d"]
+    assert texts("<p>a" + "<iframe>" * 3 + "<p>b") == ["a", "b"]
+    assert "head" not in blocks_of("<head><p>x")[0].path
+
+
+def test_digits_are_counted_over_the_whole_block():
+    from llm.html_text import Block, _figures
+
+    block = Block(("p",), "a" * 400 + "1" * 400, 1, 0)
+    assert _figures(block)[4] == 0.5
+
+
 def test_main_text_of_the_test_pages(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     rows = extract_main_text(pages).collect()

@@ -4,6 +4,8 @@ import random
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from pyspark.sql import functions as F
+
 from llm.quality import COUNTS, apply_rules
 from llm.tokens import Counter, count_tokens, read_rules
 from tests.llm.odd import empty, odd_documents, words
@@ -65,3 +67,26 @@ def test_token_counts_of_random_strings():
         assert counter.text(text) == len(library.encode(text, add_special_tokens=False).ids), repr(text)
     long = "ab" * 20000
     assert counter.text(long) == len(library.encode(long, add_special_tokens=False).ids)
+
+
+def test_columns_with_internal_names_come_back(spark):
+    """Every operator leaves input columns alone that are named like its own working columns."""
+    from llm.mixing import mix_sources
+    from llm.personal_data import find_personal_data, redact
+    from llm.quality import apply_rules
+    from llm.decontaminate import find_contamination
+    from llm.simhash import keep_one_of_each_group
+    from llm.substrings import remove_repeated
+
+    rows = [(i, f"One text of its own, number {i}, for who{i}@where.com to read and keep.", "s", i) for i in range(4)]
+    names = ["__words", "__text", "__email", "__id", "__n", "__u", "__hit0", "__row", "__key", "__source", "n_words__", "__spans"]
+    df = spark.createDataFrame(rows, "doc_id bigint, __text string, source string, v bigint")
+    df = df.withColumns({name: F.col("v") * 10 for name in names if name != "__text"}).drop("v")
+    items = spark.createDataFrame([(1, "number")], "item_id bigint, text string")
+    for found in (
+        apply_rules(df, text="__text"), remove_repeated(df, text="__text"), find_contamination(df, items, text="__text"),
+        find_personal_data(df, text="__text"), mix_sources(df, text="__text"), keep_one_of_each_group(df, text="__text"),
+    ):
+        assert {r.doc_id: r["__n"] for r in found.collect()} in ({i: 10 * i for i in range(4)}, {}) or "copy" in found.columns
+        assert set(names) <= set(found.columns)
+        assert all(r["__hit0"] == 10 * r.doc_id and r["n_words__"] == 10 * r.doc_id for r in found.collect())
