@@ -239,6 +239,12 @@ _MANIFEST = """SELECT event_id, us - 7200000000 AS us, computer, coalesce(subjec
   CASE label WHEN 'zerologon' THEN 'CVE-2020-1472' ELSE 'T1187' END AS mitre_technique{more}
 FROM sec WHERE label IN ('zerologon', 'privexchange')"""
 
+ROLLED_FEED = _with(
+        ROLLING.replace("THEN 'test' ELSE 'train' END AS split", "THEN 'all' ELSE 'all' END AS split"),
+        """SELECT ord, false AS late, events_last_5min_user, distinct_eventid_last_5min_user,
+        distinct_computers_last_5min_user, round(seconds_since_prev_event_user, 9) AS seconds_since_prev_event_user
+        FROM rolled""")
+
 ORACLE: dict[str, str] = {
     "ingest_xml": _of_sec("SELECT " + _BASE.format(
         us="us - 7200000000", user="coalesce(subject_user_name, 'second')", format="'evtx_xml'")
@@ -475,6 +481,7 @@ ORACLE: dict[str, str] = {
         CASE WHEN ord % 50 = 0 THEN {_JSON_TEXT_LENGTH} END AS text_length FROM sec"""),
     "daily_profile_union": _of_sec("""SELECT label, count(*) AS n_events, true AS hosts_close, true AS users_close,
         true AS event_ids_close, true AS median_close FROM sec GROUP BY label"""),
+    "node_table_scores": _with(SPLIT, "SELECT ord, label, true AS same FROM sp WHERE split = 'test'"),
     "split_sink_round_trip": _with(SPLIT, """SELECT split, label, count(*) AS n, count(*) AS n_features,
           sum(hour("timestamp"))::BIGINT AS hours,
           label IN (SELECT label FROM sp GROUP BY label HAVING count(DISTINCT split) = 2) AS evaluable,
@@ -516,9 +523,6 @@ ORACLE: dict[str, str] = {
         CASE WHEN record_id IS NULL OR row_number() OVER (PARTITION BY source_file, record_id ORDER BY ord) = 1
           THEN 'kept' ELSE 'duplicate' END AS verdict FROM sec"""),
     "stream_related_events": RELATED,
-    "stream_rolling_features": _with(
-        ROLLING.replace("THEN 'test' ELSE 'train' END AS split", "THEN 'all' ELSE 'all' END AS split"),
-        """SELECT ord, false AS late, events_last_5min_user, distinct_eventid_last_5min_user,
-        distinct_computers_last_5min_user, round(seconds_since_prev_event_user, 9) AS seconds_since_prev_event_user
-        FROM rolled"""),
+    "stream_rolling_features": ROLLED_FEED,
+    "rolling_from_layout": ROLLED_FEED,
 }

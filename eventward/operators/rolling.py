@@ -52,9 +52,10 @@ def _with_marks(df: DataFrame, span: int) -> DataFrame:
     ).drop("_prev_e", "_next_e", "_prev_c", "_next_c")
 
 
-def _rolling_in_windows(df: DataFrame, keys: list[str], order: list[str], span: int) -> DataFrame:
-    """One shuffle on the user serves all sorts, since each window groups by the user and more."""
-    df = df.repartition(keys[-1])
+def _rolling_in_windows(df: DataFrame, keys: list[str], order: list[str], span: int, dealt: bool) -> DataFrame:
+    """One shuffle on the user serves all sorts, since each window groups by the user and more; a
+    table that is bucketed by the user needs none."""
+    df = df if dealt else df.repartition(keys[-1])
     df = scan_groups(df, [*keys, "event_id"], order, prev={"_prev_e": "_us"}, following={"_next_e": "_us"})
     df = scan_groups(df, [*keys, "_host"], order, prev={"_prev_c": "_us"}, following={"_next_c": "_us"})
     df = _with_marks(df, span)
@@ -115,10 +116,13 @@ def add_rolling_features(
     seconds: int = WINDOW_SECONDS,
     ties: tuple[str, ...] = ("ord",),
     max_group_rows: int = MAX_GROUP_ROWS,
+    dealt: bool = False,
 ) -> DataFrame:
     """Add the four rolling columns. Rows without user or time keep fixed values.
 
-    `group` names columns whose values never share context, such as the split.
+    `group` names columns whose values never share context, such as the split. `dealt` tells that
+    the table is bucketed by the user (`write_layout`), so that only users too large for one task
+    are shuffled.
     """
     span = seconds * 1_000_000
     keys = [*group, user]
@@ -127,7 +131,7 @@ def add_rolling_features(
     host = F.coalesce("computer", F.lit(NO_HOST)) if "computer" in df.columns else F.lit(NO_HOST)
     grouped = df.where(has_group).withColumns({"_us": event_micros(), "_host": host})
     sizes = split_by_group_size(grouped, keys, max_group_rows)
-    rolled = _rolling_in_windows(sizes.small, keys, order, span)
+    rolled = _rolling_in_windows(sizes.small, keys, order, span, dealt)
     if sizes.large is not None:
         large = _rolling_in_chunks(sizes.large, keys, order, span, sizes.large_rows, max_group_rows)
         rolled = rolled.unionByName(large)

@@ -17,6 +17,7 @@ from eventward.functions.times import event_micros, iso_text, validated_time
 from eventward.functions.values import directory_path, display_fields
 from eventward.operators import cleaning, correlation, enrichment, evaluation, features, profiles, splitting
 from eventward.operators import detection as forests
+from eventward.operators import node_tables
 from eventward.operators.rolling import ROLLING_COLUMNS, add_rolling_features
 from eventward.plans import detection as plans
 from eventward.plans.dataset import build_dataset, read_sources
@@ -27,7 +28,7 @@ from eventward.sources import audit
 from eventward.sources.adapter import read_security_events, read_table, security_view
 from eventward.sources.json_events import normalize_canonical_texts, normalize_emulation_texts
 from eventward.sources.normalize import REASON, accepted, quarantined
-from eventward.sources.tables import preview, write_events, write_features, write_label_list, write_split
+from eventward.sources.tables import preview, write_events, write_features, write_label_list, write_layout, write_split
 from eventward.sources.xml_events import (
     missing_manifest_files,
     normalize_manifest_batch,
@@ -1046,6 +1047,22 @@ def train_and_score(spark, folder):
     return evaluation.classification_report(scored, "label", "predicted_label")
 
 
+@query
+def node_table_scores(spark, folder):
+    """Test rows scored by the model and by its node tables; both must agree in every row, to the last bit."""
+    detector, table = _trained(spark, folder)
+    path = scratch_path(spark, "node-tables")
+    detector.model.save(spark, path)
+    test = table.where("split = 'test'")
+    columns = ["predicted_label", "stage1_confidence", "stage2_confidence"]
+    first, second = (
+        forests.predict_hierarchical(model, test).select("ord", "label", F.struct(*columns).alias("answer"))
+        for model in (detector.model, node_tables.load_as_nodes(spark, path))
+    )
+    both = first.join(second.select("ord", F.col("answer").alias("again")), "ord", "left")
+    return both.select("ord", "label", F.col("answer").eqNullSafe(F.col("again")).alias("same"))
+
+
 @query
 def important_features(spark, folder):
     model = _detector(spark, folder).model
@@ -1106,6 +1123,15 @@ def stream_rolling_features(spark, folder):
     return table.select("ord", "late", *ROLLING_COLUMNS[:3], *rounded(ROLLING_COLUMNS[3]))
 
 
+@query
+def rolling_from_layout(spark, folder):
+    """Rolling features over the event table bucketed by user, whose windows shuffle nothing."""
+    events = read_security_events(spark, folder).select("ord", "timestamp", "subject_user_name", "event_id", "computer")
+    name = write_layout(events, scratch_path(spark, "user-layout"), "subject_user_name")
+    rolled = add_rolling_features(spark.table(name), group=(), dealt=True)
+    return rolled.select("ord", F.lit(False).alias("late"), *ROLLING_COLUMNS[:3], *rounded(ROLLING_COLUMNS[3]))
+
+
 @query
 def stream_first_wins(spark, folder):
     """Survivors and duplicates of a feed in order of arrival, as one sink in two parts."""

@@ -1,7 +1,9 @@
-"""Stored tables: event, split and feature tables, label lists, previews."""
+"""Stored tables: event, split and feature tables, layouts for readers, label lists, previews."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from eventward.operators.features import kept_columns
@@ -35,5 +37,19 @@ def write_label_list(labels: DataFrame, path: str) -> None:
     labels.select("label").orderBy("label").coalesce(1).write.mode("overwrite").text(path)
 
 
+def write_layout(events: DataFrame, path: str, key: str, order: tuple[str, ...] = ("timestamp", "ord"), buckets: int | None = None) -> str:
+    """Write the event table for readers that go by a key: bucketed by it, sorted inside. Returns the table's name.
+
+    Each bucket is one file. Windows and groups over the key read it without a shuffle, however
+    often it is read; `spark.table(name)` is the table, for this session's catalog.
+    """
+    spark = events.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"layout_{uuid.uuid4().hex}"
+    dealt = events.repartition(buckets, key)
+    dealt.write.bucketBy(buckets, key).sortBy(key, *order).option("path", path).saveAsTable(name, format="parquet")
+    return name
+
+
 def preview(df: DataFrame, n: int = 3, order: str = "ord") -> DataFrame:
     return df.orderBy(order).limit(n)

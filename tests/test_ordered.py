@@ -100,3 +100,19 @@ def test_related_events_are_symmetric(spark):
 def test_related_plan_forms_no_pairs(spark, events):
     plan = related_events(events, events)._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_a_layout_by_user_needs_no_shuffle(spark, tmp_path):
+    from eventward.operators.rolling import ROLLING_COLUMNS, add_rolling_features
+    from eventward.sources.tables import write_layout
+    from tests.helpers import event_table, random_rows
+
+    events = event_table(spark, random_rows(8, n=300, users=20)).drop("us", "split")
+    name = write_layout(events, str(tmp_path / "layout"), "subject_user_name", buckets=4)
+    rolled = add_rolling_features(spark.table(name), group=(), dealt=True)
+    plan = rolled._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SelectedBucketsCount" in plan
+    both = [sorted(map(tuple, df.select("ord", *ROLLING_COLUMNS).collect())) for df in (rolled, add_rolling_features(events, group=()))]
+    assert both[0] == both[1] and len(both[0]) == 300
+    large = add_rolling_features(spark.table(name), group=(), dealt=True, max_group_rows=10)
+    assert sorted(map(tuple, large.select("ord", *ROLLING_COLUMNS).collect())) == both[0]

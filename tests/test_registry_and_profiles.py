@@ -73,15 +73,61 @@ print(json.dumps([model.stage1.model.toDebugString.split(chr(10), 1)[1], model.f
 def test_trees_do_not_depend_on_cores(tmp_path):
     home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     found = []
+    clean = {k: v for k, v in os.environ.items() if not k.startswith(("SPARK", "PYSPARK", "_PYSPARK"))}
     for master in ("local[1]", "local[4]"):
         run = subprocess.run(
-            [sys.executable, "-c", TREES, master, str(tmp_path / master)],
-            capture_output=True, text=True, cwd=home, timeout=300, env=os.environ | {"PYTHONPATH": home},
+            [sys.executable, "-c", TREES, master, str(tmp_path / f"cores{master[6]}")],
+            capture_output=True, text=True, cwd=home, timeout=300, env=clean | {"PYTHONPATH": home},
         )
+        assert run.returncode == 0, run.stderr[-3000:]
         found.append(json.loads(run.stdout.strip().splitlines()[-1]))
     assert found[0] == found[1] and "If (feature" in found[0][0]
 
 
+def test_bootstraps_balance_rare_classes(spark, tmp_path):
+    """Skewed and overlapping classes: weights per bootstrap find the rare one as often as weights for all, or more."""
+    noise = lambda k: F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1000)) / 1000
+    rare = F.col("id") % 100 == 0
+    rows = spark.range(6000).select(
+        F.col("id").alias("ord"), (noise(1) + F.when(rare, 0.8).otherwise(0)).alias("a"), noise(2).alias("b"),
+        F.when(rare, "rare").otherwise("often").alias("label"), F.lit("TA0006").alias("mitre_tactic"),
+    )
+    settings = D.ForestSettings(stage2_trees=12, stage2_depth=4, balanced_bootstraps=4, partitions=8)
+    rows = D.assemble(rows, ["a", "b"]).cache()
+    train, test = rows.where("ord % 200 < 100"), rows.where("ord % 200 >= 100")
+
+    def recall(forest):
+        scored = forest.score(test, "guess", "confidence")
+        return scored.where("label = 'rare'").agg(F.avg((F.col("guess") == "rare").cast("double"))).first()[0]
+
+    _, balanced = D.train_stage2(train, ["a", "b"], settings)
+    weighted = train.join(D.class_weights(train, "label").select("label", "weight"), "label")
+    once = D._fit_forest(weighted, "label", 12, 4, 1, settings, "weight")
+    _, plain = D.train_stage2(train, ["a", "b"], settings, balanced=())
+    assert balanced["TA0006"].model.getNumTrees == 12
+    assert recall(balanced["TA0006"]) >= recall(once) - 0.02 and recall(balanced["TA0006"]) > recall(plain["TA0006"])
+    drawn = rows.agg(*[F.avg(D._drawn(42, k)).alias(f"m{k}") for k in range(3)]).first()
+    assert all(0.95 < m < 1.05 for m in drawn)
+    balanced["TA0006"].model.write().overwrite().save(str(tmp_path / "forest"))
+    loaded = D.Forest(type(balanced["TA0006"].model).load(str(tmp_path / "forest")), balanced["TA0006"].classes)
+    assert recall(loaded) == recall(balanced["TA0006"])
+
+
+def test_node_tables_score_like_the_model(spark, split, tmp_path):
+    from eventward.operators.node_tables import NodeForest, load_as_nodes, read_nodes
+
+    detector, table = plans.train_detector(split, SMALL)
+    detector.model.save(spark, str(tmp_path / "model"))
+    nodes = load_as_nodes(spark, str(tmp_path / "model"))
+    assert isinstance(nodes.stage1, NodeForest) and set(nodes.forests) == set(detector.model.forests)
+    assert nodes.stage1.n_trees == SMALL.stage1_trees and nodes.stage1.depth == SMALL.stage1_depth
+    columns = ["ord", "predicted_label", "predicted_tactic", "stage1_confidence", "stage2_confidence", "is_attack"]
+    found = [sorted(map(tuple, D.predict_hierarchical(m, table).select(*columns).collect())) for m in (detector.model, nodes)]
+    assert found[0] == found[1] and len(found[0]) == table.count()
+    shares = read_nodes(spark, str(tmp_path / "model" / "stage1")).select(F.expr("aggregate(shares, 0D, (a, x) -> a + x)")).collect()
+    assert all(abs(r[0] - 1) < 1e-9 for r in shares)
+
+
 def test_profiles_unite_like_one_pass(spark, tmp_path):
     events = spark.range(40_000).select(
         F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("label"),
