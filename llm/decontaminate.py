@@ -152,7 +152,8 @@ def find_contamination(
 
     Null, empty and wordless texts have no words and no hits, null and wordless items no windows;
     an empty benchmark or document table gives no hits or no rows. Repeated documents are judged
-    alike; items with one id are one item. Columns of the four names are replaced. Documents are
+    alike; items with one id are one item. Columns of the four names are replaced, others come back as
+    they were. Very long texts are matched whole, in time that grows with their length. Documents are
     never shuffled; their words are counted in one pass and matched in a second, once for every
     `pairs_a_pass` pairs of item and window.
     """

@@ -164,7 +164,8 @@ def apply_rules(
     """Add the counts, `base_failed`, `kept`, and `failed_rules`, the names of the rules broken.
 
     Null, empty and blank texts have no words and fail the base. Rows that repeat are judged
-    alike, each for itself; an empty table gives an empty table. Nothing is shuffled.
+    alike, each for itself; an empty table gives an empty table. Very long texts are counted whole, one
+    at a time. Columns of the new names are replaced, others come back as they were. Nothing is shuffled.
     """
     counted = drop_columns(quality_counts(df, text), "base_failed", "kept", "failed_rules")
     broken = F.array_compact(

@@ -141,7 +141,8 @@ def near_duplicate_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "te
     or fewer; a component's id is the smallest id in it. Null, empty and wordless texts have
     fingerprint zero and link like any other. A row without id gets its component's id, null
     if no row of the component has one. Repeated rows appear as often as they come; an empty
-    table gives none. Copies are one vertex, so a text copied any number of times costs one.
+    table gives none. Copies are one vertex, so a text copied any number of times costs one. Very long
+    texts are hashed whole, in steps.
     """
     rows, values = _linked(df, doc_id, text)
     values = stored(values, "fingerprint-roots")
@@ -160,7 +161,8 @@ def keep_one_of_each_group(df: DataFrame, doc_id: str = "doc_id", text: str = "t
     """The documents without near-duplicates: of each component the row with the smallest id stays.
 
     Rows without id come after all others; of rows with one id, and of rows without, one is
-    chosen by a hash of the text, and of rows that repeat one stays. All columns are returned.
+    chosen by a hash of the text, and of rows that repeat one stays. Null, empty and wordless texts are
+    one group, and an empty table stays empty. All columns are returned, whatever their names.
     """
     rows, values = _linked(df, doc_id, text)
     return keep_best(df, rows, values, doc_id, text)

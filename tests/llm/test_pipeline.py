@@ -2,6 +2,7 @@ import collections
 
 import corpus_pipeline
 from llm.decontaminate import find_windows, plan_block, windows_of, words_of
+from tests.llm.odd import odd_documents
 from tests.llm.test_duplicates import brute_components, brute_fingerprint
 from tests.llm.test_personal_and_mixing import brute_spans, drawn
 from tests.llm.test_rules_and_tokens import brute_counts
@@ -54,3 +55,22 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark):
         found = stage(spark, docs.limit(0), SF)
         assert found.count() == 0, name
         assert found.columns[: len(docs.columns)] == docs.columns
+
+
+def test_stages_take_odd_rows(spark):
+    """Nulls in every column, empty and very long texts, repeated rows, and columns with clashing names."""
+    docs = odd_documents(spark)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, SF)
+        assert found.columns[:5] == list(corpus_pipeline.DOCUMENT), name
+        kept[name] = sorted(((r.doc_id, r.text) for r in found.collect()), key=repr)
+    copies = [(1, texts[1])] * 2
+    assert [x for x in kept["quality_rules"] if x[0] == 1] == copies and not any(i in (2, 3, 4, 6, 7) for i, _ in kept["quality_rules"])
+    # Of the texts without words one stays, of the three that are alike the smallest id.
+    ids = [i for i, _ in kept["near_duplicates"]]
+    assert sum(i in (2, 3, 4) for i in ids) == 1 and 8 not in ids and ids.count(1) == 1
+    assert len(kept["decontamination"]) == 13 and len(kept["personal_data"]) == 13
+    assert any(t and "<EMAIL>" in t for i, t in kept["personal_data"] if i is None)
+    assert set(kept["mixing"]) <= {(r.doc_id, r.text) for r in docs.collect()}
