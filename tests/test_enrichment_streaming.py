@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from eventward.functions import messages
 from eventward.functions.values import clean_columns, directory_path, display_fields
 from eventward.operators import correlation, enrichment
-from eventward.operators.rolling import ROLLING_COLUMNS, add_rolling_features
 from eventward.plans.queries import json_texts
 from eventward.sources.json_events import normalize_emulation_texts
 from eventward.streaming import feeds
