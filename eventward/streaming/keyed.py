@@ -330,38 +330,98 @@ def first_wins_stream(events: DataFrame, delay: str, key: tuple[str, ...] = DEDU
     return judged.unionByName(alone)
 
 
+#: A stretch of a host's time is as long as so many windows.
+STRETCH = 12
+_NONE = -(2**63)  # stands for null where numbers cross to Python
+
+
+def shown_rows(rows: pd.DataFrame, limit: int) -> pd.DataFrame:
+    """The rows that a detection can show, in order of (us, related_ord).
+
+    It skips the rows of its own time and event id and shows `limit` rows: of one event id at one time
+    only the first `limit` can be among them, and of one time only the first 2 * limit of those.
+    """
+    rows = rows.sort_values(["us", "related_ord"], kind="stable")
+    rows = rows[rows.groupby(["us", "event_id"]).cumcount() < limit]
+    return rows[rows.groupby("us").cumcount() < 2 * limit].reset_index(drop=True)
+
+
+def first_related(asked: pd.DataFrame, seen: pd.DataFrame, span: int, limit: int) -> pd.DataFrame:
+    """The first `limit` rows of `shown_rows` for each detection, with their rank."""
+    times, ids = seen["us"].to_numpy(np.int64), seen["event_id"].to_numpy(np.int64)
+    at = asked["us"].to_numpy(np.int64)[:, None]
+    # At most `limit` rows have the detection's time and event id, so the answer is in twice as many rows.
+    slot = np.searchsorted(times, at - span, side="left") + np.arange(2 * limit)
+    there = slot < len(times)
+    slot = np.where(there, slot, 0)
+    own = (times[slot] == at) & (ids[slot] == asked["event_id"].to_numpy(np.int64)[:, None])
+    fits = there & (times[slot] <= at + span) & ~own
+    fits &= np.cumsum(fits, axis=1) <= limit
+    who, _ = np.nonzero(fits)
+    out = seen.iloc[slot[fits]].reset_index(drop=True)
+    out.insert(0, "ord", asked["ord"].to_numpy(np.int64)[who])
+    out = out.sort_values(["ord", "us", "related_ord"], kind="stable", ignore_index=True)
+    out.insert(1, "rank", out.groupby("ord").cumcount() + 1)
+    return out[out["rank"] <= limit]
+
+
 class FirstRelated(StatefulProcessor):
-    """Per detection its first related events so far; they come out when the watermark has passed the window."""
+    """The detections of a host in one stretch of time and the events within their reach; answers come out
+    when the watermark has passed their window."""
 
     def __init__(self, span: int, limit: int):
         self.span, self.limit = span, limit
 
     def init(self, handle) -> None:
-        self.handle = handle
-        self.best = handle.getListState("best", "us bigint, related_ord bigint, event_id int, label string")
+        self.seen, self.asked, self.alarm = _Pieces(handle, "seen"), _Pieces(handle, "asked"), _Alarm(handle)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        best, detected = list(self.best.get()), None
+        new, asked = None, []
         for piece in rows:
-            detected = int(piece["detected_us"].iloc[0])
-            first = piece.nsmallest(self.limit, ["us", "related_ord"])
-            found = [
-                (int(r.us), int(r.related_ord), None if pd.isna(r.event_id) else int(r.event_id), r.label)
-                for r in first.itertuples()
-            ]
-            best = sorted([*best, *found], key=lambda x: x[:2])[: self.limit]
-        self.best.put(best)
-        self.handle.registerTimer((detected + self.span) // 1000 + 1)
+            asks = piece.loc[piece["asks"], ["ord", "us", "event_id"]]
+            if len(asks):
+                asked.append(asks)
+            piece = piece[["us", "ord", "event_id", "label"]].rename(columns={"ord": "related_ord"})
+            new = shown_rows(piece if new is None else pd.concat([new, piece], ignore_index=True), self.limit)
+        if len(self._stored(self.seen, new)) > 0:
+            self.alarm.by(self._end(key))
+        if asked:
+            asked = pd.concat(asked, ignore_index=True)
+            self.asked.add(asked)
+            self.alarm.by((int(asked["us"].min()) + self.span) // 1000 + 1)
         return iter(())
 
+    def _end(self, key) -> int:
+        """When no window of this stretch is open any more."""
+        return ((int(key[1]) + 1) * STRETCH * self.span + self.span) // 1000 + 1
+
+    def _stored(self, pieces: _Pieces, new: pd.DataFrame) -> pd.DataFrame:
+        """Rows are kept as pieces, of which many are made one."""
+        before, number = pieces.read()
+        if number < MOST_PIECES:
+            pieces.add(new)
+            return new
+        whole = shown_rows(pd.concat([before, new], ignore_index=True), self.limit)
+        pieces.replace(whole)
+        return whole
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        best = sorted(self.best.get(), key=lambda x: x[:2])
-        self.best.clear()
-        if best:
-            out = pd.DataFrame(best, columns=["us", "related_ord", "event_id", "label"])
-            out.insert(0, "rank", range(1, len(out) + 1))
-            out.insert(0, "ord", key[0])
-            yield out.astype({"event_id": "Int64"})
+        over = self.alarm.rang(timerValues, expiredTimerInfo)
+        (asked, _), (seen, _) = self.asked.read(), self.seen.read()
+        waits = np.array([], np.int64)
+        if asked is not None:
+            ends = (asked["us"].to_numpy(np.int64) + self.span) // 1000 + 1
+            due = ends <= over
+            waits = ends[~due]
+            if due.any():
+                self.asked.replace(asked[~due])
+                out = first_related(asked[due], shown_rows(seen, self.limit), self.span, self.limit)
+                yield from _pieces(out[["ord", "rank", "us", "related_ord", "event_id", "label"]])
+        if self._end(key) <= over:
+            self.seen.state.clear()
+            self.asked.state.clear()
+        else:
+            self.alarm.by(min([*waits.tolist(), self._end(key)]))
 
     def close(self) -> None:
         pass
@@ -372,32 +432,32 @@ def related_events_stream(
 ) -> DataFrame:
     """For each detection of a feed the first `limit` other events of its host within +- `seconds`.
 
-    `is_detection` tells which events ask; rare detections do not hold the watermark back. Both
-    sides of the join carry the watermark, and the condition bounds the times on either side, so Spark keeps
-    an event or a detection only until nothing within reach can come any more. A detection comes
-    out when the watermark has passed its window, with the same rows as `related_events` in batch;
-    rows older than the watermark find nothing. Detections without host or time have no related
-    events.
+    `is_detection` tells which events ask; rare detections do not hold the watermark back. No pairs are
+    formed: a host's time is cut into stretches, an event goes to each that has it within reach, and a
+    stretch keeps what its detections can show (`shown_rows`) until their windows are over. A detection comes out when the watermark has passed its window, with the same rows as
+    `related_events` in batch; rows older than the watermark find nothing. Detections without host or
+    time have no related events.
     """
     keep_state(events.sparkSession)
+    span = seconds * 1_000_000
     placed = F.col("computer").isNotNull() & (F.col("computer") != "")
-    asked = _where(watermarked(events, delay), placed & is_detection).select(
-        "ord", F.col("computer").alias("_host"), F.col(EVENT_TIME).alias("_detected"), F.col("event_id").alias("_eid")
-    )
-    seen = _where(watermarked(events, delay), placed).select(
-        "computer", F.col(EVENT_TIME).alias("_seen"), F.col("ord").alias("related_ord"), "event_id", "label"
-    )
-    span = F.expr(f"INTERVAL {seconds} SECONDS")
-    near = (
-        (F.col("_host") == F.col("computer"))
-        & (F.col("_seen") >= F.col("_detected") - span)
-        & (F.col("_seen") <= F.col("_detected") + span)
-        & ((F.col("_seen") != F.col("_detected")) | ~F.col("event_id").eqNullSafe(F.col("_eid")))
-    )
-    pairs = asked.join(seen, near).select(
-        "ord", F.unix_micros("_detected").alias("detected_us"), F.unix_micros("_seen").alias("us"), "related_ord", "event_id", "label"
-    )
-    schema = "ord bigint, rank int, us bigint, related_ord bigint, event_id int, label string"
-    return pairs.groupBy("ord").transformWithStateInPandas(
-        FirstRelated(seconds * 1_000_000, limit), schema, "append", "EventTime"
+    none = F.lit(_NONE).cast("long")
+    # The watermark's column goes along, so that Spark drops the rows that come too late.
+    rows = _where(watermarked(events, delay), placed).select(
+        EVENT_TIME, F.col("computer").alias("_host"), F.coalesce("ord", none).alias("ord"), _micros().alias("us"),
+        F.coalesce(F.col("event_id").cast("long"), none).alias("event_id"), "label",
+        F.coalesce(is_detection, F.lit(False)).alias("_asks"),
+    )
+    length = STRETCH * span
+    stretch = lambda us: F.expr(f"({us} - pmod({us}, {length}L)) div {length}L")
+    reached = F.array_distinct(F.array(stretch(f"(us - {span}L)"), stretch("us"), stretch(f"(us + {span}L)")))
+    rows = rows.withColumn("_stretch", F.explode(reached)).select(
+        EVENT_TIME, "_host", "_stretch", "ord", "us", "event_id", "label", (F.col("_asks") & (F.col("_stretch") == stretch("us"))).alias("asks")
     )
+    schema = "ord bigint, rank int, us bigint, related_ord bigint, event_id bigint, label string"
+    found = rows.groupBy("_host", "_stretch").transformWithStateInPandas(FirstRelated(span, limit), schema, "append", "EventTime")
+    number = lambda c: F.when(F.col(c) != none, F.col(c))
+    return found.select(
+        number("ord").alias("ord"), "rank", "us", number("related_ord").alias("related_ord"),
+        number("event_id").cast("int").alias("event_id"), "label",
+    )

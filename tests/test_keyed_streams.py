@@ -1,5 +1,6 @@
 """Feeds with state by key: equal to the batch operators, with every late row accounted for."""
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -211,3 +212,20 @@ def test_first_wins_judges_many_keys_in_one_call():
         judged([(100 + n, 10**6, f"k{n}"), (200 + n, 10**6, f"k{n}")])
     known, pieces = wins.known.read()
     assert len(known) == 22 and pieces <= keyed.MOST_PIECES
+
+
+def test_first_related_without_pairs():
+    """A hot moment is kept in as many rows as a detection can show; answers are those of brute force."""
+    rng, span, limit = np.random.default_rng(3), 300, 6
+    rows = pd.DataFrame({
+        "us": rng.integers(0, 40, 4000) * 50, "related_ord": rng.permutation(4000), "event_id": rng.integers(0, 3, 4000), "label": "x",
+    })
+    kept = keyed.shown_rows(rows, limit)
+    assert len(kept) <= 40 * 2 * limit
+    asked = rows.sample(200, random_state=1).rename(columns={"related_ord": "ord"})
+    got = keyed.first_related(asked, kept, span, limit)
+    for one in asked.itertuples():
+        near = rows[(rows["us"] >= one.us - span) & (rows["us"] <= one.us + span) & ~((rows["us"] == one.us) & (rows["event_id"] == one.event_id))]
+        want = near.sort_values(["us", "related_ord"]).head(limit)
+        mine = got[got["ord"] == one.ord]
+        assert mine["related_ord"].tolist() == want["related_ord"].tolist() and mine["rank"].tolist() == list(range(1, len(want) + 1))
