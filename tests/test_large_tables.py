@@ -1,5 +1,9 @@
 """Steps that must not depend on how many rows there are: no whole table in the driver or in one task."""
 
+import pytest
+
+from eventward.operators import detection as forests
+from eventward.plans import detection as plans
 from eventward.plans.queries import QUERIES
 from tests.conftest import SF
 
@@ -11,3 +15,23 @@ def plan_of(df):
 def test_round_trip_joins_without_the_driver(spark):
     plan = plan_of(QUERIES["event_table_round_trip"](spark, SF))
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("most", [50_000, 0])
+def test_isolated_events_are_scored_once_a_vector(spark, split, monkeypatch, most):
+    small = forests.ForestSettings(stage1_trees=5, stage1_depth=5, stage2_trees=5, stage2_depth=5, memory_mb=256)
+    detector, _ = plans.train_detector(split, small)
+    events = split.limit(30).unionByName(split.limit(30))
+    scored_rows = []
+
+    def counted(model, df):
+        scored_rows.append(df.count())
+        return forests.predict_hierarchical(model, df)
+
+    monkeypatch.setattr(plans, "predict_hierarchical", counted)
+    monkeypatch.setattr(plans, "MOST_SENT_VECTORS", most)
+    got = plans.score_isolated(events, detector)
+    plain = forests.predict_hierarchical(detector.model, plans.isolated_features(events, detector.encoders))
+    names = ["ord", "predicted_label", "predicted_tactic", "stage1_confidence", "stage2_confidence", "is_attack"]
+    assert got.columns == plain.columns and scored_rows[0] <= 30
+    assert sorted(map(repr, got.select(*names).collect())) == sorted(map(repr, plain.select(*names).collect()))
