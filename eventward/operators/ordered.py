@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from eventward.session import shared_folder, stored
 
-MAX_GROUP_ROWS = 4_000_000
+MAX_GROUP_ROWS = 500_000
 
 
 @dataclass

@@ -3,6 +3,7 @@
 import pytest
 
 from eventward.operators import detection as forests
+from eventward.operators import ordered
 from eventward.plans import detection as plans
 from eventward.plans.queries import QUERIES
 from tests.conftest import SF
@@ -35,3 +36,8 @@ def test_isolated_events_are_scored_once_a_vector(spark, split, monkeypatch, mos
     names = ["ord", "predicted_label", "predicted_tactic", "stage1_confidence", "stage2_confidence", "is_attack"]
     assert got.columns == plain.columns and scored_rows[0] <= 30
     assert sorted(map(repr, got.select(*names).collect())) == sorted(map(repr, plain.select(*names).collect()))
+
+
+def test_ordinary_groups_fit_a_task():
+    """A window sorts and keeps the whole rows of a group, several times over: about 2 KB a row."""
+    assert ordered.MAX_GROUP_ROWS * 2_000 <= 1_200_000_000
