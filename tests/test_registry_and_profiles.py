@@ -55,6 +55,29 @@ def test_a_fit_is_bounded_by_label(spark):
     assert again.exceptAll(D.bounded_rows(rows, 500, 42)).count() == 0
 
 
+def test_a_fit_takes_every_row(spark, monkeypatch):
+    """Training draws no rows: each fit sees all of its stage's rows, however many a label has."""
+    label = F.when(F.col("id") % 10 < 8, "benign").when(F.col("id") % 10 == 8, "p").otherwise("q")
+    rows = spark.range(2000).select(
+        F.col("id").alias("ord"), (F.col("id") % 10).cast("double").alias("a"), label.alias("label"),
+        F.when(label != "benign", "TA0006").alias("mitre_tactic"),
+    )
+    fit, seen = D._fit_forest, []
+
+    def counted(df, *args, **settings):
+        seen.append(df.count())
+        return fit(df, *args, **settings)
+
+    def drawn(*args, **settings):
+        raise AssertionError("a fit draws its rows")
+
+    monkeypatch.setattr(D, "_fit_forest", counted)
+    monkeypatch.setattr(D, "bounded_rows", drawn)
+    assert not [name for name in vars(D.ForestSettings()) if name.startswith("most_")]
+    D.train_hierarchical(rows, ["a"], SMALL, balanced=())
+    assert seen == [2000, 400]
+
+
 TREES = """
 import json, sys
 from pyspark.sql import SparkSession, functions as F
