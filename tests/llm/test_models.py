@@ -1,14 +1,18 @@
 import collections
 import itertools
 import math
+import pickle
 import random
 import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 
 from llm.html_text import Labeller, Pages, blocks_of, extract_main_text, trained_labeller
-from llm.language_model import Restaurants, Seats, Totals, score_texts, sizes
+from llm.language_model import Restaurants, Seats, Totals, _add_slice, _block, _merge, _pack, _release, _restaurants, _split, _squeeze, _unpack
+from llm.language_model import score_texts, sizes
 from llm.toxicity import maximal_segments, score_toxicity
 from tests.llm.odd import empty, lower_words, odd_documents
 
@@ -126,6 +130,58 @@ def test_scores_do_not_depend_on_partitions(spark):
     assert all(abs(v - found[1][k]) < 1e-6 * abs(v) for k, v in found[0].items())
 
 
+def test_contexts_are_kept_apart(spark):
+    """Each of 6,000 contexts has one follower, seen four times: the model must be nearly sure of it."""
+    docs = spark.range(12_000).selectExpr("id AS doc_id", "concat('a', id % 3000, ' b', id % 3000) AS text")
+    rows = [r for r in score_texts(docs).collect() if not r.held_out]
+    first = math.log10(4 / 12_000)
+    assert all(r.n_tokens == 3 for r in rows)
+    assert sum(r.score > first - 0.6 for r in rows) > 0.9 * len(rows)
+
+
+def _bigrams(texts):
+    found = collections.Counter()
+    for text in texts:
+        words = [None, *lower_words(text), None]
+        found.update(zip(words, words[1:]))
+    return found
+
+
+def test_a_bucket_holds_exact_counts_of_contexts_and_words():
+    """Entries over all buckets and blocks are the pairs of words in a row, held-out rows with a count of none."""
+    rng = random.Random(3)
+    texts = [" ".join(f"W{rng.randrange(60)}" for _ in range(rng.randrange(40))) for _ in range(30)] + [None, ""]
+    held = np.array([k % 5 == 0 for k in range(len(texts))])
+    rows = collections.defaultdict(list)
+    for block, half in enumerate((slice(0, 16), slice(16, 32))):
+        data = [t.encode() if t is not None else None for t in texts[half]]
+        for bucket, number, state, sent in _block(block, pa.array(range(len(data))), data, held[half], 3):
+            if bucket >= 0:
+                rows[bucket].append((number, state))
+    name = {xxhash.xxh64_intdigest(w.encode()): w for w in (f"w{k}" for k in range(60))} | {xxhash.xxh64_intdigest(b""): None}
+    above = {key >> 16: word for key, word in name.items()}
+    counts = {}
+    for bucket, blocks in rows.items():
+        state, numbers = _merge(blocks)
+        here, contexts = _restaurants(_squeeze(pickle.dumps(state)), bucket)
+        names = np.unique(np.concatenate([_unpack(_release(s))[0] for _, s in blocks]))
+        for word, place, count in zip(here.word, here.restaurant, here.count):
+            counts[above[int(contexts[place])], name[int(names[word])]] = int(count)
+        assert all((np.diff(n) >= 0).all() for n in numbers) and len(numbers) == len(blocks)
+    trained = _bigrams(t for t, h in zip(texts, held) if not h)
+    assert counts == {pair: trained[pair] for pair in _bigrams(texts)}
+
+
+def test_a_slice_adds_up_the_contexts_of_all_buckets():
+    mine = [([5, 9, 1 << 47], [2, 1, 7], [1, 1, 3]), ([5, 1 << 47], [4, 1], [2, 1]), ([6], [8], [5])]
+    data = [_squeeze(_pack(*_split(np.array(c, np.uint64)), np.array(n), np.array(t))) for c, n, t in mine]
+    table = pa.table({"bucket": [0, 1, 2], "slice": [0, 0, 0], "sums": data, "figures": [[1.0], [2.0], [3.0]]})
+    found = _add_slice(table)
+    assert found.column_names == table.column_names and found.column("figures").to_pylist() == [[1.0], [2.0], [3.0]]
+    sums = [[a.tolist() for a in _unpack(_release(d))] for d in found.column("sums").to_pylist()]
+    assert sums == [[[6, 1, 8], [3, 1, 4]], [[6, 8], [3, 4]], [[8], [5]]]
+
+
 def test_sizes_follow_the_text():
     assert sizes(0) == (8, 1024) and sizes(10**9) == (239, 65536)
     assert sizes(10**12)[0] > 200_000
