@@ -78,6 +78,23 @@ def test_a_fit_takes_every_row(spark, monkeypatch):
     assert seen == [2000, 400]
 
 
+def test_rows_of_a_fit_are_dealt_to_enough_tasks(spark, monkeypatch):
+    """Without a bound on rows, tasks must not grow with them."""
+    rows = spark.range(2000).selectExpr("id AS ord", "id % 10 + 0D AS a", "'benign' AS label", "CAST(NULL AS string) AS mitre_tactic")
+    deal, parts = D.spread, []
+
+    def dealt(df, partitions):
+        parts.append(partitions)
+        return deal(df, partitions)
+
+    monkeypatch.setattr(D, "spread", dealt)
+    rows = D.assemble(rows, ["a"])
+    D.train_stage1(rows, ["a"], SMALL)
+    monkeypatch.setattr(D, "PARTITION_ROWS", 50)
+    D.train_stage1(rows, ["a"], SMALL)
+    assert parts == [SMALL.partitions, 40]
+
+
 TREES = """
 import json, sys
 from pyspark.sql import SparkSession, functions as F
